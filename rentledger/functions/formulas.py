@@ -8,7 +8,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .money import MONEY, at_least, money, neg, ratio, share, share_unrounded, zero
+from .money import at_least, money, money_from_double, neg, ratio, share, share_unrounded, zero
 
 
 def final_subtotal(total: Column, coupon: Column, discount: Column, floor: float | None = None) -> Column:
@@ -22,10 +22,15 @@ def create_fee(fee: Column, actual: Column, paid: Column) -> Column:
     return share(fee, actual, paid)
 
 
-def refund_fee(fee: Column, refunded: Column, total_refund: Column) -> Column:
-    """Share of the returned processor fee; 0 where fee or refund is 0, NULL where no total exists."""
+def refund_ratio(fee: Column, refunded: Column, total_refund: Column) -> Column:
+    """Unrounded share of the returned processor fee; 0 where fee or refund is 0, NULL where no total exists."""
     nothing = (fee == 0) | (refunded == 0)
-    return F.when(nothing, F.lit(0).cast(MONEY)).otherwise(share(fee, refunded, total_refund))
+    return F.when(nothing, F.lit(0.0)).otherwise(ratio(fee, refunded, total_refund))
+
+
+def refund_fee(fee: Column, refunded: Column, total_refund: Column) -> Column:
+    """``refund_ratio`` in cents."""
+    return money_from_double(refund_ratio(fee, refunded, total_refund))
 
 
 def refund_fee_signed(fee: Column, refunded: Column, total_refund: Column) -> Column:
@@ -121,6 +126,7 @@ __all__ = [
     "final_subtotal",
     "refund_fee",
     "refund_fee_signed",
+    "refund_ratio",
     "refund_share_unrounded",
     "refund_signs",
     "total_fee",

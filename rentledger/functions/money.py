@@ -21,8 +21,8 @@ def numeric(c: Column) -> Column:
 
 
 def money(c: Column) -> Column:
-    """Decimal rounded to cents, half away from zero."""
-    return F.round(c, 2).cast(MONEY)
+    """Decimal rounded to cents, half away from zero, as a decimal cast does."""
+    return c.cast(MONEY)
 
 
 def money_from_double(c: Column) -> Column:
@@ -35,7 +35,7 @@ def money_from_double(c: Column) -> Column:
     cents = F.abs(x) * F.lit(100.0)
     off_tie = F.abs(cents - F.floor(cents).cast("double") - F.lit(0.5))
     near = off_tie < F.lit(1e-6) + cents * F.lit(1e-12)
-    return F.when(near, F.round(numeric(x), 2).cast(MONEY)).otherwise(x.cast(MONEY))
+    return F.when(near, money(numeric(x))).otherwise(x.cast(MONEY))
 
 
 def zero(c: Column) -> Column:

@@ -18,8 +18,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.formulas import collected_order, create_fee, final_subtotal, refund_fee, total_fee
-from ..functions.money import money, zero
+from ..functions.formulas import collected_order, final_subtotal, refund_ratio, total_fee
+from ..functions.money import money, money_from_double, ratio, zero
 from ..functions.scalar import actual_amount, blank, flag_text, mask_user, partner_text, refunded_flag, text
 from ..functions.timefmt import DAY_FIRST, MONTH_FIRST, double_shift, local_date
 from ..operators.aggregates import event_order
@@ -154,28 +154,30 @@ def order_lines(tables: Tables, rules: OrderRules) -> DataFrame:
     return with_dimensions(lines_from_items(items, header), tables)
 
 
-def _report_columns(rules: OrderRules) -> dict[str, Column]:
+def _report_steps(rules: OrderRules) -> list[dict[str, Column]]:
+    """Columns to add, step by step.
+
+    A value that later ones use several times gets a step of its own, so that it is computed once.
+    """
     c = F.col
 
     def known(col: Column) -> Column:
         return zero(col) if rules.null_as_zero else col
 
     def cents(name: str) -> Column:
-        return money(known(c(name)))
+        return known(money(c(name)))
 
     refunded = zero(c("refunded_amount"))
     actual = known(actual_amount(refunded, c("amount_before"), c("total_amount")))
     fee = cents("processing_fee") if rules.round_fee_first else c("processing_fee")
-    refunded_fee = zero(c("sum_refunded_processing_fee"))
     total_refund = c("sum_total_refund_amount")
-    create = create_fee(fee, actual, c("paid_amount"))
-    create = zero(create) if rules.null_fee_as_zero else create
-    back = refund_fee(refunded_fee, refunded, total_refund)
-    back = zero(back) if rules.null_as_zero else back
-    subtotal = money(final_subtotal(known(c("total_items")), known(c("coupon_discount")), known(c("discount"))))
+    refunded_fee = zero(c("sum_refunded_processing_fee"))
     flag = refunded_flag(refunded, c("is_refunded_source") if rules.source_flag else F.lit(False))
     partner = partner_text(c("partner_id")) if rules.blank_partner_zero else text(c("partner_id"))
-    return {
+    net = final_subtotal(known(c("total_items")), known(c("coupon_discount")), known(c("discount")))
+    shown = {
+        "_create": ratio(fee, actual, c("paid_amount")),
+        "_back": refund_ratio(refunded_fee, refunded, total_refund),
         "order_date": local_date(c("created_on"), fmt=rules.date_format),
         "original_amount": cents("paid_amount"),
         "order_refund": money(zero(total_refund)),
@@ -188,21 +190,24 @@ def _report_columns(rules: OrderRules) -> dict[str, Column]:
         "coupon_amount": cents("coupon_discount"),
         "line_discount": cents("discount"),
         "gratuity": cents("tip"),
-        "final_subtotal": subtotal,
+        "final_subtotal": money(net),
         "line_booking_fee": cents("booking_fee"),
-        "create_fee": create,
-        "refund_fee": back,
-        "total_fee": total_fee(create, back),
         "tax_percent": cents("tax_percentage"),
         "tax": cents("sales_tax"),
         "line_delivery_fee": cents("delivery_fee"),
         "partner": partner,
     }
-
-
-def _collected() -> Column:
+    create, back = money_from_double(c("_create")), money_from_double(c("_back"))
+    fees = {
+        "create_fee": zero(create) if rules.null_fee_as_zero else create,
+        "refund_fee": zero(back) if rules.null_as_zero else back,
+    }
     parts = ["gratuity", "final_subtotal", "line_booking_fee", "tax", "line_delivery_fee", "create_fee", "refund_fee"]
-    return collected_order(*[F.col(p) for p in parts])
+    totals = {
+        "total_fee": total_fee(c("create_fee"), c("refund_fee")),
+        "total_collected": collected_order(*[c(p) for p in parts]),
+    }
+    return [shown, fees, totals]
 
 
 # Keys that stay on the lines until the dynamic columns are joined.
@@ -211,8 +216,9 @@ _KEYS = {"order_id": "order_id_original", "order_item_id": "order_item_id", "pro
 
 def _labelled(tables: Tables, rules: OrderRules) -> DataFrame:
     """Labelled report with the join keys of the dynamic columns behind it."""
-    lines = order_lines(tables, rules).withColumns(_report_columns(rules))
-    lines = lines.withColumn("total_collected", _collected())
+    lines = order_lines(tables, rules)
+    for step in _report_steps(rules):
+        lines = lines.withColumns(step)
     pairs: list[tuple[str | Column, str]] = []
     for name, shown in LABELS:
         keep_type = name == "total_collected" and not rules.collected_as_text
