@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, tokenbin
+from . import packing, tokenbin, warc
 from .common import Scratch
 
 
@@ -14,6 +14,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "warc")
+    archives = warc.write_archives(_table(spark, folder, "pages"), scratch)
+    return warc.read_records(archives, scratch).drop("payload")
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return packing.pack(packing.pieces(docs), Scratch(spark, "packing"))
@@ -26,6 +32,7 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op10_token_ids": op10_token_ids,
 }
