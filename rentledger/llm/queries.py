@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, tokenbin, warc
+from . import chunks, mixing, packing, sharding, tokenbin, warc
 from .common import Scratch
 
 
@@ -25,6 +25,18 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.pieces(docs), Scratch(spark, "packing"))
 
 
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks.exact_groups(_table(spark, folder, "documents"), Scratch(spark, "chunks")).drop("row_no")
+
+
+def op6_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"), Scratch(spark, "mixing")).drop("row_no")
+
+
+def op7_hash_tree_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(_table(spark, folder, "documents"), Scratch(spark, "sharding"))
+
+
 def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark, "ids")
     manifest = tokenbin.write_ids(_table(spark, folder, "documents"), scratch)
@@ -34,7 +46,13 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_source_mixing": op6_source_mixing,
+    "op7_hash_tree_sharding": op7_hash_tree_sharding,
     "op10_token_ids": op10_token_ids,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_exact_dedup": chunks.SQL,
+    "op6_source_mixing": mixing.SQL,
+}
