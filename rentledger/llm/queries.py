@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, mixing, packing, sharding, tokenbin, warc
+from . import chunks, html, mixing, packing, sharding, simhash, tokenbin, warc
 from .common import Scratch
 
 
@@ -25,6 +25,15 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.pieces(docs), Scratch(spark, "packing"))
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash.near_groups(_table(spark, folder, "documents"), Scratch(spark, "simhash"))
+    return groups.select("doc_id", simhash.hex_digits(groups["fp"]).alias("fingerprint"), "component_id")
+
+
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(_table(spark, folder, "pages"))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return chunks.exact_groups(_table(spark, folder, "documents"), Scratch(spark, "chunks")).drop("row_no")
 
@@ -46,6 +55,8 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_simhash": op3_simhash,
+    "op4_main_text": op4_main_text,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_hash_tree_sharding": op7_hash_tree_sharding,
