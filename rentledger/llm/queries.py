@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, html, mixing, packing, sharding, simhash, tokenbin, warc
+from . import chunks, html, mixing, packing, sharding, simhash, tokenbin, topk, toxicity, warc
 from .common import Scratch
 
 
@@ -46,6 +46,15 @@ def op7_hash_tree_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(_table(spark, folder, "documents"), Scratch(spark, "sharding"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    return toxicity.classify(docs, labels, Scratch(spark, "toxicity")).drop("row_no")
+
+
+def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(_table(spark, folder, "embeddings"), Scratch(spark, "topk"))
+
+
 def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark, "ids")
     manifest = tokenbin.write_ids(_table(spark, folder, "documents"), scratch)
@@ -60,10 +69,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_hash_tree_sharding": op7_hash_tree_sharding,
+    "op8_toxicity": op8_toxicity,
+    "op9_topk": op9_topk,
     "op10_token_ids": op10_token_ids,
 }
 
 SQL: dict[str, str] = {
     "op5_exact_dedup": chunks.SQL,
     "op6_source_mixing": mixing.SQL,
+    "op9_topk": topk.SQL,
 }
