@@ -22,7 +22,7 @@ _SPLITS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # Longer texts are encoded in segments of about this many characters.
 SEGMENT = 1 << 20
 # Pieces that one Python worker remembers; at the limit it keeps those it has.
-MEMO = 600_000
+MEMO = 1_000_000
 
 
 def default_path() -> str:
@@ -104,12 +104,13 @@ class Encoder:
         return found
 
     def _piece(self, piece: str) -> bytes:
-        ids = []
-        for split in self.splits(piece):
-            ids += [x.id for x in self.model.tokenize(split.encode().decode("latin1").translate(self.letters))]
-        return _packed(ids)
+        splits = self.splits(piece)
+        if len(splits) > 1:
+            return b"".join(map(self.memo.__getitem__, splits))
+        return _packed([x.id for x in self.model.tokenize(piece.encode().decode("latin1").translate(self.letters))])
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The packed ids of each text."""
         parts = [(i, s) for i, t in enumerate(texts) for s in (segments(t) if len(t) > SEGMENT else (t,))]
         done: list[bytes | None] = [None] * len(parts)
         whole, get = [], self.memo.__getitem__
