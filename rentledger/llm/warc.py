@@ -248,7 +248,8 @@ def candidates(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame
 def reachable(chain: DataFrame, scratch: Scratch) -> DataFrame:
     """The candidates that a chain of records from offset 0 of their archive leads to, by pointer jumping.
 
-    A chain that breaks off before the end of its archive (cut or damaged files) ends there.
+    A chain that breaks off before the end of its archive (cut or damaged files) ends there. The tables of jumps grow with the
+    archives and are small on disk only, as paths repeat: they are merged, never broadcast.
     """
     chain = scratch.save(chain, "candidates")
     most = chain.groupBy("path").count().agg(F.max("count")).first()[0] or 0
@@ -257,12 +258,12 @@ def reachable(chain: DataFrame, scratch: Scratch) -> DataFrame:
     for k in range(rounds):
         hit = state.where("reached").select("path", F.col("jump").alias("at"), F.lit(True).alias("hit"))
         hop = state.select("path", F.col("at").alias("jump"), F.col("jump").alias("far"))
-        state = state.join(hop, ["path", "jump"], "left").join(hit, ["path", "at"], "left")
+        state = state.join(hop.hint("merge"), ["path", "jump"], "left").join(hit.hint("merge"), ["path", "at"], "left")
         state = state.select("path", "at", F.col("far").alias("jump"), (F.col("reached") | F.col("hit").isNotNull()).alias("reached"))
         state = scratch.save(state, f"jump{k}")
         if k:
             scratch.drop(f"jump{k - 1}")
-    return chain.join(state.where("reached").select("path", "at"), ["path", "at"], "left_semi")
+    return chain.join(state.where("reached").select("path", "at").hint("merge"), ["path", "at"], "left_semi")
 
 
 def read_records(archives: DataFrame, scratch: Scratch, split_bytes: int = SPLIT_BYTES) -> DataFrame:
