@@ -98,12 +98,14 @@ def dedupe(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def row_count(df: DataFrame) -> int:
-    return df.count()
+def row_count(df: DataFrame, out: str = "n_rows") -> DataFrame:
+    """One row, also for an empty table."""
+    return df.agg(F.count(F.lit(1)).alias(out))
 
 
-def key_count(df: DataFrame, col: str, out: str = "n_keys") -> DataFrame:
-    return df.agg(F.countDistinct(quoted(col)).alias(out))
+def key_counts(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Distinct values of several columns in one pass; ``columns`` maps them to output names."""
+    return df.agg(*[F.countDistinct(quoted(c)).alias(n) for c, n in columns.items()])
 
 
 __all__ = [
@@ -112,7 +114,7 @@ __all__ = [
     "event_order",
     "first_by",
     "joined_values",
-    "key_count",
+    "key_counts",
     "merge_values",
     "payment_refunds",
     "refund_totals",

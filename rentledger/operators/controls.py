@@ -21,7 +21,7 @@ from .aggregates import joined_values
 from .filters import exported, live, scope
 from .joins import enrich, within, without
 from .projection import quoted
-from .sets import stack
+from .sets import stack, stack_all
 
 NAME, VALUE = "control_name", "control_value"
 
@@ -52,16 +52,17 @@ def override(item_rows: DataFrame, inherited_rows: DataFrame, key: str) -> DataF
     return stack(item_rows, without(inherited_rows, item_rows.select(key), [key]))
 
 
-def control_names(attrs: DataFrame) -> list[str]:
-    """Sorted names that occur in the attribute rows.
+def control_names(attrs: dict[str, DataFrame]) -> dict[str, list[str]]:
+    """Sorted names that occur in the attribute rows of each scope, read in one job.
 
-    The list has at most one entry per control definition; Spark's own limit for pivot values applies.
+    A scope has at most one name per control definition.
     """
-    cap = int(attrs.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    names = attrs.select(NAME).filter(F.col(NAME).isNotNull()).distinct()
-    found = [r[0] for r in names.orderBy(NAME).limit(cap + 1).collect()]
-    if len(found) > cap:
-        raise ValueError(f"more than {cap} control names; raise spark.sql.pivotMaxValues")
+    if not attrs:
+        return {}
+    rows = [df.filter(F.col(NAME).isNotNull()).select(F.lit(s).alias("scope"), NAME).distinct() for s, df in attrs.items()]
+    found: dict[str, list[str]] = {s: [] for s in attrs}
+    for scope_name, name in sorted(tuple(r) for r in stack_all(rows).collect()):
+        found[scope_name].append(name)
     return found
 
 
@@ -71,7 +72,7 @@ def pivot_controls(attrs: DataFrame, key: str, names: list[str] | None = None, s
     Without attribute rows the result holds only the key.
     """
     if names is None:
-        names = control_names(attrs)
+        names = control_names({key: attrs})[key]
     if not names:
         return attrs.select(key).distinct().limit(0)
     counted = attrs.groupBy(key, NAME, VALUE).agg(F.count(F.lit(1)).alias("n"))
@@ -86,6 +87,15 @@ def _column(name: str, sep: str) -> Column:
     return joined_values(pairs, sep).alias(name)
 
 
+def apart(pivoted: DataFrame) -> DataFrame:
+    """The same rows, no longer placed by their key, so that a join shuffles both of its sides.
+
+    Spark splits a hot key only where both sides come from shuffles made for the join. The pivoted side has one row per
+    key; moving it once more is cheap against the lines.
+    """
+    return pivoted.hint("rebalance")
+
+
 @dataclass(frozen=True)
 class ScopedControls:
     """Attributes of one scope, not yet spread to items.
@@ -100,7 +110,8 @@ class ScopedControls:
     names: list[str]
 
     def pivots(self) -> tuple[DataFrame, DataFrame]:
-        return pivot_controls(self.own, "order_item_id", self.names), pivot_controls(self.inherited, self.entity, self.names)
+        own, inherited = pivot_controls(self.own, "order_item_id", self.names), pivot_controls(self.inherited, self.entity, self.names)
+        return apart(own), apart(inherited)
 
 
 def scoped_rows(
@@ -124,7 +135,7 @@ def scoped_rows(
 
 def inherited_in_use(items: DataFrame, own: DataFrame, inherited: DataFrame, entity: str) -> DataFrame:
     """Inherited rows that reach at least one item without own rows."""
-    heirs = without(items.select("order_item_id", entity), own.select("order_item_id"), ["order_item_id"])
+    heirs = without(items.select("order_item_id", entity), own.select("order_item_id").distinct(), ["order_item_id"])
     return within(inherited, heirs.select(entity).distinct(), [entity])
 
 
@@ -164,7 +175,7 @@ def widen(
     names = unique_names({"order": order_names, **{s: c.names for s, c in scopes.items()}}, report.columns)
     out = report
     if order_attrs is not None and order_names:
-        pivoted = pivot_controls(order_attrs, "order_id", order_names)
+        pivoted = apart(pivot_controls(order_attrs, "order_id", order_names))
         out = enrich(out, pivoted, order_key, "order_id", {names["order"][n]: quoted(n) for n in order_names})
     for scope_name, scoped in scopes.items():
         if not scoped.names:

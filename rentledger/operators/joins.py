@@ -41,9 +41,16 @@ def lines_from_items(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def attach_payment(df: DataFrame, payments: DataFrame, link: str = "id") -> DataFrame:
-    """Left-join payments: ``id`` by the order's payment id, ``order`` by the payment's order id."""
+    """Left-join payments: ``id`` by the order's payment id, ``order`` by the payment's order id.
+
+    Orders without payment id would all meet in the task of the NULL key. Their key is made of the order's id instead, with a
+    mark in front that no payment's key has.
+    """
     if link == "id":
-        return df.join(payments.drop("order_id"), "payment_transaction_id", "left")
+        paid, alone = F.concat(F.lit("p"), F.col("payment_transaction_id")), F.concat(F.lit("o"), F.col("order_id"))
+        left = df.withColumn("_pay_key", F.coalesce(paid, alone))
+        right = payments.drop("order_id").withColumn("_pay_key", paid).drop("payment_transaction_id")
+        return left.join(right, "_pay_key", "left").drop("_pay_key")
     if link == "order":
         return df.drop("payment_transaction_id").join(payments, "order_id", "left")
     raise ValueError(f"unknown payment link {link!r}")

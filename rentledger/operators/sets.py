@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 
 from .projection import quoted
@@ -16,6 +18,11 @@ def stack(first: DataFrame, second: DataFrame, schema: dict[str, str] | None = N
     return first.unionByName(second)
 
 
+def stack_all(frames: list[DataFrame]) -> DataFrame:
+    """All rows of all frames, matched by column name."""
+    return reduce(DataFrame.unionByName, frames)
+
+
 def preview(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """First ``n`` rows in a stated order."""
     return df.orderBy(*[quoted(c) for c in order]).limit(n)
@@ -26,4 +33,4 @@ def sort_report(df: DataFrame, label: str) -> DataFrame:
     return df.orderBy(quoted(label))
 
 
-__all__ = ["preview", "sort_report", "stack"]
+__all__ = ["preview", "sort_report", "stack", "stack_all"]

@@ -83,6 +83,8 @@ def order_header(tables: Tables, *, link: str = "id", round_refund_sums: bool =
     paid = join_agg(payments, refunds, "payment_transaction_id")
     header = orders.withColumn("order_payment_id", F.col("payment_transaction_id"))
     header = attach_payment(header, paid, link)
+    if link == "order":
+        header = header.withColumn("order_payment_id", F.col("payment_transaction_id"))
     header = enrich(header, tables["Reservations"], "reservation_id", "Id", {"reservation_code": "ReservationCode"})
     names = {"user_name": full_name(F.col("FirstName"), F.col("LastName"))}
     header = enrich(header, tables["Users"], "created_by", "Id", names)
@@ -142,9 +144,27 @@ def scoped_controls(
     tables: Tables, scope: str, names: list[str] | None = None, live_only: bool = True
 ) -> ScopedControls:
     """Attributes of one scope with their column names; ``names`` skips the pass that finds them."""
-    own, inherited = scope_rows(tables, scope, live_only)
-    entity = SCOPES[scope]["entity"]
-    if names is None:
-        used = inherited_in_use(items_of(tables), own, inherited, entity)
-        names = control_names(own.select("control_name").union(used.select("control_name")))
-    return ScopedControls(own, inherited, entity, names)
+    given = None if names is None else {scope: names}
+    return _scopes(tables, [scope], given or {}, live_only)[0][scope]
+
+
+def dynamic_columns(
+    tables: Tables, live_only: bool = True, given: dict[str, list[str]] | None = None
+) -> tuple[DataFrame, list[str], dict[str, ScopedControls]]:
+    """``(order attributes, their names, scopes)``; all names that aren't given are read in one job."""
+    attrs = order_attributes(tables)
+    scopes, order_names = _scopes(tables, list(SCOPES), given or {}, live_only, attrs)
+    return attrs, order_names, scopes
+
+
+def _scopes(
+    tables: Tables, wanted: list[str], given: dict[str, list[str]], live_only: bool, order_attrs: DataFrame | None = None
+) -> tuple[dict[str, ScopedControls], list[str]]:
+    rows = {s: scope_rows(tables, s, live_only) for s in wanted}
+    unknown = {"order": order_attrs} if order_attrs is not None and "order" not in given else {}
+    for s, (own, inherited) in rows.items():
+        if s not in given:
+            used = inherited_in_use(items_of(tables), own, inherited, SCOPES[s]["entity"])
+            unknown[s] = own.select("control_name").union(used.select("control_name"))
+    names = control_names(unknown) | given
+    return {s: ScopedControls(*rows[s], SCOPES[s]["entity"], names[s]) for s in wanted}, names.get("order", [])

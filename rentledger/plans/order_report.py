@@ -23,7 +23,7 @@ from ..functions.money import money, money_from_double, ratio, zero
 from ..functions.scalar import actual_amount, blank, flag_text, mask_user, partner_text, refunded_flag, text
 from ..functions.timefmt import DAY_FIRST, MONTH_FIRST, double_shift, local_date
 from ..operators.aggregates import event_order
-from ..operators.controls import control_names, widen
+from ..operators.controls import widen
 from ..operators.filters import positive
 from ..operators.joins import join_agg, lines_from_items
 from ..operators.projection import blank_nulls, label, move_column
@@ -31,11 +31,10 @@ from .layered import clamped_order_report, order_total_report
 from .model import (
     Tables,
     coupons_of,
+    dynamic_columns,
     items_of,
     model,
-    order_attributes,
     order_header,
-    scoped_controls,
     with_dimensions,
 )
 
@@ -237,9 +236,11 @@ def order_report(
     """Order report; see the module text for ``variant`` and ``OrderRules`` for ``rules``.
 
     ``dynamic`` adds one column per exported control and makes every column text. The column names are
-    read from the data first (three small jobs) unless ``control_columns`` lists them per scope:
+    read from the data first, in one job, unless ``control_columns`` lists them per scope:
     ``order``, ``product``, ``location``.
     """
+    if variant in ("order_total", "clamped") and (dynamic or control_columns or rules):
+        raise TypeError(f"the {variant} report has no dynamic columns and takes no rules")
     if variant == "order_total":
         return order_total_report(tables)
     if variant == "clamped":
@@ -256,9 +257,6 @@ def add_controls(
     report: DataFrame, tables: Tables, live_only: bool, control_columns: dict[str, list[str]] | None = None
 ) -> DataFrame:
     """Join the dynamic columns of all three scopes and drop the helper keys."""
-    given = control_columns or {}
-    attrs = order_attributes(tables)
-    order_names = given["order"] if "order" in given else control_names(attrs)
-    scopes = {s: scoped_controls(tables, s, given.get(s), live_only) for s in ("product", "location")}
+    attrs, order_names, scopes = dynamic_columns(tables, live_only, control_columns)
     wide = widen(report, attrs, order_names, scopes)
     return wide.drop(*_KEYS.values())

@@ -34,21 +34,21 @@ def stage_root(spark: SparkSession) -> str | None:
 def checkpoint_stage(df: DataFrame, path: str | None = None, name: str = "stage") -> DataFrame:
     """Write a step and read it back, so that later failures do not recompute it.
 
-    Without ``path`` the step goes to a new folder below ``spark.checkpoint.dir``; where that is unset
-    the frame is returned as it is, still lazy.
+    Without ``path`` the step goes to a new folder below ``spark.checkpoint.dir``, which must be set then.
     """
     spark = df.sparkSession
     if path is None:
         root = stage_root(spark)
         if root is None:
-            return df
+            raise ValueError("give a path or set spark.checkpoint.dir")
         path = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
     write_table(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    write_table(df, path, fmt=fmt)
+def write_report(df: DataFrame, path: str, fmt: str = "parquet", order_by: list[str] | None = None) -> None:
+    """Write a report; ``order_by`` sorts it over all files."""
+    write_table(df.orderBy(*map(quoted, order_by)) if order_by else df, path, fmt=fmt)
 
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "nullValue": "NULL"}

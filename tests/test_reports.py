@@ -6,9 +6,11 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from rentledger.plans import order_report, transaction_report
+from rentledger.plans import order_report, payments_view, refund_report, transaction_report
 from rentledger.plans.transaction_report import LABELS
-from workload.model_sql import ModelTables
+from rentledger.sources.schema import SNAPSHOT_COLUMNS
+from rentledger.sources.snapshot import snapshot
+from workload.model_sql import MODEL, ModelTables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -47,6 +49,37 @@ def test_variants_agree_where_their_rules_do(m, order_rows):
             assert r[name] == s[name]
 
 
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_every_row_of_the_given_tables_is_in_the_model(spark, folder):
+    m = ModelTables(spark, f"/root/testdata/{folder}")
+    ids = m["OrderItems"].agg(F.count("*"), F.countDistinct("Id")).first()
+    assert ids[0] == ids[1] == m["lineitem"].count()
+    assert m["Orders"].count() == m["orders"].count()
+    assert m["Users"].count() == m["customer"].count()
+    assert m["PaymentRefund"].count() == m["OrderItemsHistory"].count()
+    assert m["OrderItemsHistory"].groupBy("OrderItemId").count().agg(F.max("count")).first()[0] == 3
+
+
+def test_every_variant_runs_on_snapshots_of_double_money(m):
+    tables = {}
+    for name, columns in SNAPSHOT_COLUMNS.items():
+        df = m[name]
+        doubles = [F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes]
+        missing = [F.lit(None).cast("timestamp").alias(c) for c in columns if c not in df.columns]
+        tables[name] = snapshot(df.select(*doubles, *missing), columns, exact_money=True)
+    assert set(tables) < set(MODEL)
+    for variant in ("current", "staged", "static", "order_total", "clamped"):
+        assert order_report(tables, variant).count() == order_report(m, variant).count() > 0
+    for variant in ("current", "staged", "static"):
+        assert transaction_report(tables, variant).count() > 0
+    assert refund_report(tables).count() > 0 and payments_view(tables).count() > 0
+
+
+def test_payment_link_of_the_current_transaction_report(m):
+    by_id, by_order = (transaction_report(m, payment_link=x) for x in ("id", "order"))
+    assert by_order.columns == by_id.columns and by_order.count() != by_id.count()
+
+
 def test_unknown_variant(m):
     with pytest.raises(KeyError):
         order_report(m, "nope")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rentledger.operators import aggregates as ag
+from rentledger.operators import controls as co
 from rentledger.operators import joins as jo
 from rentledger.operators import windows as wi
 
@@ -69,14 +70,47 @@ def test_earliest_limits_groups_before_the_shuffle(hot):
     assert any("WindowGroupLimit" in line for line in lines[exchange:])
 
 
-def test_hot_key_of_a_join_is_split(spark, conf, hot):
-    _, df = hot
+def small_partitions(conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1KB")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.2")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4KB")
     conf("spark.sql.shuffle.partitions", "16")
+
+
+@pytest.mark.parametrize("entity", ["product_id", "location_id"])
+def test_hot_entity_of_a_pivot_is_split(spark, conf, hot, entity):
+    _, df = hot
+    small_partitions(conf)
+    keys = sorted({k for k, *_ in hot[0]})
+    attrs = spark.createDataFrame([(k, n, f"{n}-{k}") for k in keys for n in ("A", "B")], f"{entity} string, control_name string, control_value string")
+    own = spark.createDataFrame([(5, "A", "mine")], "order_item_id int, control_name string, control_value string")
+    scoped = co.ScopedControls(own, attrs, entity, ["A", "B"])
+    facts = df.select(F.col("id").alias("order_item_id"), F.col("k").alias(entity)).repartition(8, "order_item_id")
+    out = co.widen(facts, None, [], {"any": scoped})
+    rows = out.collect()
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    assert len(rows) == N
+    assert all((r.A, r.B) == ((f"A-{r[entity]}", f"B-{r[entity]}") if r.order_item_id != 5 else ("mine", None)) for r in rows)
+
+
+def test_unpaid_orders_are_spread(spark, conf):
+    small_partitions(conf)
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(str(i), None if i % 3 == 0 else f"p{i}") for i in range(N)]
+    orders = spark.createDataFrame(rows, "order_id string, payment_transaction_id string")
+    pays = spark.createDataFrame([(f"p{i}", "o", i) for i in range(N)] + [(None, "o", -1), ("", "o", -2)], "payment_transaction_id string, order_id string, amount int")
+    out = jo.attach_payment(orders, pays).withColumn("task", F.spark_partition_id()).collect()
+    assert len(out) == N
+    assert all(r.amount == (None if int(r.order_id) % 3 == 0 else int(r.order_id)) for r in out)
+    tasks = Counter(r.task for r in out if r.amount is None)
+    assert len(tasks) > 8 and max(tasks.values()) < N / 3 / 4
+
+
+def test_hot_key_of_a_join_is_split(spark, conf, hot):
+    _, df = hot
+    small_partitions(conf)
     keys = sorted({k for k, *_ in hot[0]})
     dim = spark.createDataFrame([(k, "n-" + k) for k in keys], "k string, name string")
     facts = df.repartition(8, "id")
