@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,7 +18,7 @@ def shared_dir(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local["):
+    if not re.match(r"local(\[|$)", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     folder = "file://" + tempfile.mkdtemp(prefix="llm-work-")
     spark.conf.set("spark.checkpoint.dir", folder)
