@@ -78,17 +78,30 @@ def as_doubles(df: DataFrame) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("double") for n in found}) if found else df
 
 
-def clean_layer(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The five transactional tables under model names."""
-    return {name: as_doubles(rename_project(tables[name], columns)) for name, columns in CLEAN_COLUMNS.items()}
+def clean_layer(tables: dict[str, DataFrame], fan_out: bool = True) -> dict[str, DataFrame]:
+    """The transactional tables under model names.
 
+    Without ``fan_out`` history is summed per order, with its smallest refund order number, and refunded fees per payment.
+    """
+    named = {name: rename_project(tables[name], columns) for name, columns in CLEAN_COLUMNS.items()}
+    if not fan_out:
+        sums = F.sum("order_level_refund").alias("order_level_refund"), F.min("refund_order_number").alias("refund_order_number")
+        named["OrderHistory"] = named["OrderHistory"].groupBy("order_id").agg(*sums)
+        fees = F.sum("refunded_processing_fee").alias("refunded_processing_fee")
+        named["PaymentRefund"] = named["PaymentRefund"].groupBy("payment_id").agg(fees)
+    return {name: as_doubles(df) for name, df in named.items()}
 
-def lines(tables: dict[str, DataFrame], provider_default: str | None = None) -> DataFrame:
-    """Order lines with dimensions, payments, refunds and coupons."""
-    clean = clean_layer(tables)
+
+def lines(tables: dict[str, DataFrame], provider_default: str | None = None, fan_out: bool = False) -> DataFrame:
+    """Order lines with dimensions, payments, refunds and coupons: one row per item and payment of its order.
+
+    ``fan_out`` repeats a line for every history row of the order and every refund of the payment, as the first
+    reports did: an order with k refunds then has k rows for each of its items.
+    """
+    clean = clean_layer(tables, fan_out)
     locations = as_doubles(tables["Locations"])
     out = base_lines(clean["Orders"], tables["Reservations"], clean["OrderItems"])
-    out = out.join(clean["OrderHistory"].drop("refund_order_number"), "order_id", "left")
+    out = out.join(clean["OrderHistory"], "order_id", "left")
     out = enrich(out, tables["Products"], "product_id", "Id", {"product_name": "Name"})
     out = enrich(out, locations, "location_id", "Id", {"location_name": "Name", "location_tax": "TaxRate"})
     out = enrich(out, locations, "site_id", "Id", {"site_name": "Name", "site_tax": "TaxRate"})
@@ -178,10 +191,10 @@ def _cols(*names: str) -> list[Column]:
     return [F.col(n) for n in names]
 
 
-def order_total_report(tables: dict[str, DataFrame]) -> DataFrame:
+def order_total_report(tables: dict[str, DataFrame], fan_out: bool = False) -> DataFrame:
     """Fees prorated by the item's part of the order total."""
     fees = fees_by_order_total(*_cols("processing_fee", "refunded_processing_fee", "total_amount_items", "total"))
-    rows = lines(tables).withColumns(
+    rows = lines(tables, fan_out=fan_out).withColumns(
         {
             "line_subtotal": F.col("total_items"),
             "final_subtotal": final_subtotal(*_cols("total_amount_items", "coupon_discount", "discount")),
@@ -196,7 +209,7 @@ def order_total_report(tables: dict[str, DataFrame]) -> DataFrame:
     return label(rows, list(ORDER_LABELS))
 
 
-def clamped_order_report(tables: dict[str, DataFrame]) -> DataFrame:
+def clamped_order_report(tables: dict[str, DataFrame], fan_out: bool = False) -> DataFrame:
     """Missing amounts count as 0, the subtotal is not negative, booking fee and total are prorated."""
     nil = F.lit(0.0)
     amount, total = _cols("total_amount_items", "total")
@@ -205,7 +218,7 @@ def clamped_order_report(tables: dict[str, DataFrame]) -> DataFrame:
     collected = collected_share(
         *_cols("paid_amount", "order_level_refund", "refunded_processing_fee"), amount, total
     )
-    rows = lines(tables, provider_default="Unknown").withColumns(
+    rows = lines(tables, "Unknown", fan_out).withColumns(
         {
             "line_subtotal": amount,
             "final_subtotal": final_subtotal(*known, floor=0.0),
@@ -221,30 +234,24 @@ def clamped_order_report(tables: dict[str, DataFrame]) -> DataFrame:
     return label(rows, list(ORDER_LABELS))
 
 
-def refund_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Order-level refunds on every line of the order.
+def refund_report(tables: dict[str, DataFrame], fan_out: bool = False) -> DataFrame:
+    """Order-level refunds on every line of the order, with the payment they were paid by.
 
-    The order's payments, refunds and history rows meet the lines a second time, so their number enters
-    the row count squared.
+    With ``fan_out`` the order's payments, refunds and history rows meet the lines a second time, as in the first report, so
+    their number enters the row count squared.
     """
-    clean = clean_layer(tables)
-    history = clean["OrderHistory"].withColumnRenamed("order_level_refund", "refund_amount")
-    again = join_raw(clean["PaymentTransactions"], clean["PaymentRefund"], "payment_id").select(
-        "order_id",
-        F.col("order_type").alias("type_2"),
-        F.col("payment_type").alias("payment_type_2"),
-        F.col("payment_provider_name").alias("provider_2"),
-        F.col("refunded_processing_fee").alias("refunded_fee_2"),
-    )
-    rows = lines(tables, provider_default="Unknown").join(history, "order_id", "left")
-    rows = rows.join(again, "order_id", "left").withColumns(
+    rows = lines(tables, fan_out=fan_out)
+    if fan_out:
+        clean = clean_layer(tables)
+        again = join_raw(clean["PaymentTransactions"], clean["PaymentRefund"], "payment_id")
+        again = again.select("order_id", "order_type", "payment_type", "payment_provider_name", "refunded_processing_fee")
+        rows = rows.drop(*again.columns[1:], "order_level_refund", "refund_order_number")
+        rows = rows.join(clean["OrderHistory"], "order_id", "left").join(again, "order_id", "left")
+    rows = rows.withColumn("refund_amount", F.col("order_level_refund")).withColumns(
         {
-            "order_type": F.col("type_2"),
-            "payment_type": F.col("payment_type_2"),
-            "payment_provider_name": F.col("provider_2"),
             "tax_percentage": F.round(F.col("tax_percentage").cast("decimal(20,6)"), 2).cast("decimal(20,2)"),
             "final_subtotal": final_subtotal(*_cols("total_amount_items", "coupon_discount", "discount")),
-            "total_collected": collected_level(*_cols("paid_amount", "refund_amount", "refunded_fee_2")),
+            "total_collected": collected_level(*_cols("paid_amount", "refund_amount", "refunded_processing_fee")),
         }
     )
     return label(rows, list(REFUND_LABELS))

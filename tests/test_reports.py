@@ -6,7 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from rentledger.plans import order_report, payments_view, refund_report, transaction_report
+from rentledger.plans import order_report, order_total_report, payments_view, refund_report, transaction_report
 from rentledger.plans.transaction_report import LABELS
 from rentledger.sources.schema import SNAPSHOT_COLUMNS
 from rentledger.sources.snapshot import snapshot
@@ -75,6 +75,14 @@ def test_every_variant_runs_on_snapshots_of_double_money(m):
     assert refund_report(tables).count() > 0 and payments_view(tables).count() > 0
 
 
+def test_fan_out_of_the_first_reports_is_an_option(m):
+    lines = m["Orders"].alias("o").join(m["OrderItems"].alias("i"), F.expr("o.Id = i.OrderId"), "left")
+    per_payment = lines.join(m["PaymentTransactions"].alias("p"), F.expr("o.Id = p.OrderId"), "left").count()
+    assert refund_report(m).count() == order_report(m, "order_total").count() == per_payment
+    assert refund_report(m, fan_out=True).count() > order_total_report(m, fan_out=True).count() > per_payment
+    assert refund_report(m, fan_out=True).columns == refund_report(m).columns
+
+
 def test_payment_link_of_the_current_transaction_report(m):
     by_id, by_order = (transaction_report(m, payment_link=x) for x in ("id", "order"))
     assert by_order.columns == by_id.columns and by_order.count() != by_id.count()

@@ -500,14 +500,17 @@ lines AS (
          cl.coupon_code, {dbl('oi.CouponDiscount')} AS coupon, {dbl('oi.Discount')} AS disc, {dbl('oi.Tip')} AS tip,
          {dbl('o.BookingFee')} AS booking, {dbl('pt.ProcessingFee')} AS fee, {dbl('pr.RefundedProcessingFee')} AS rfee,
          coalesce(site.TaxRate, l.TaxRate) AS tax_rate, {dbl('oi.SalesTax')} AS tax, {dbl('o.DeliveryFee')} AS order_delivery,
-         {dbl('oi.DeliveryFee')} AS item_delivery, pa.Name AS partner_name, oi.PartnerId, pt.Id AS payment_id
+         {dbl('oi.DeliveryFee')} AS item_delivery, pa.Name AS partner_name, oi.PartnerId, pt.Id AS payment_id,
+         oh.refund_number
   FROM m_Orders o
   LEFT JOIN m_Reservations r ON r.Id = o.ReservationId
   LEFT JOIN m_OrderItems oi ON oi.OrderId = o.Id
-  LEFT JOIN m_OrderHistory oh ON oh.OrderId = o.Id
+  LEFT JOIN (SELECT OrderId, sum(RefundedTotal) AS RefundedTotal, min(RefundOrderNumber) AS refund_number
+             FROM m_OrderHistory GROUP BY OrderId) oh ON oh.OrderId = o.Id
   {DIMENSIONS}
   LEFT JOIN m_PaymentTransactions pt ON pt.OrderId = o.Id
-  LEFT JOIN m_PaymentRefund pr ON pr.PaymentTransactionId = pt.Id
+  LEFT JOIN (SELECT PaymentTransactionId, sum(RefundedProcessingFee) AS RefundedProcessingFee
+             FROM m_PaymentRefund GROUP BY PaymentTransactionId) pr ON pr.PaymentTransactionId = pt.Id
   LEFT JOIN coupon_lists cl ON cl.OrderItemId = oi.Id)"""
 STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 
@@ -541,18 +544,16 @@ FROM lines"""
 
 REFUND_REPORT = f"""WITH {LAYERED}
 SELECT ReservationCode AS "RID", OrderNumber AS "OrderId", order_item_id AS "LineItemId", {STAMP.format('created')} AS "OriginalOrderDate",
-  item_amount AS "OriginalLineItemAmount", pt2.Source AS "OrderType", {dbl('oh2.RefundedTotal')} AS "RefundAmount",
-  pt2.PaymentType AS "PaymentMethod", pt2.PaymentProviderName AS "PaymentProcessor", oh2.RefundOrderNumber AS "RefundOrderId",
+  item_amount AS "OriginalLineItemAmount", Source AS "OrderType", order_refund AS "RefundAmount",
+  PaymentType AS "PaymentMethod", PaymentProviderName AS "PaymentProcessor", refund_number AS "RefundOrderId",
   user_name AS "User", product_name AS "ProductName", {STAMP.format('StartDate')} AS "RentalStartDate",
   {STAMP.format('EndDate')} AS "RentalEndDate", location_name AS "LocationName", site_name AS "SubsiteLocationName",
   {m2('tax_rate')} AS "TaxPercent", item_amount AS "LineItemSubTotal", coupon_code AS "PromoCodeId", coupon AS "CouponAmount",
   disc AS "LineItemDiscount", tip AS "Gratuity", item_amount - coupon - disc AS "FinalLineItemSubTotal", booking AS "BookingFee",
   fee AS "ProcessingFees", tax AS "Tax", item_delivery AS "DeliveryFee",
-  paid - {dbl('oh2.RefundedTotal')} - coalesce({dbl('pr2.RefundedProcessingFee')}, 0.0::double) AS "TotalCollected",
+  paid - order_refund - coalesce(rfee, 0.0::double) AS "TotalCollected",
   partner_name AS "PartnerName", PartnerId AS "PartnerId"
-FROM lines LEFT JOIN m_OrderHistory oh2 ON oh2.OrderId = lines.order_id
-LEFT JOIN m_PaymentTransactions pt2 ON pt2.OrderId = lines.order_id
-LEFT JOIN m_PaymentRefund pr2 ON pr2.PaymentTransactionId = pt2.Id"""
+FROM lines"""
 PAYMENTS_VIEW = f"""SELECT o.Id AS order_id, oi.Id AS order_item_id, pt.Id AS payment_transaction_id, {dbl('pt.Amount')} AS paid_amount,
   {dbl('pt.ProcessingFee')} AS processing_fee, {dbl('o.Total')} AS total, {dbl('oi.SalesTax')} AS sales_tax, {dbl('o.BookingFee')} AS booking_fee,
   {dbl('o.DeliveryFee')} AS delivery_fee, pt.PaymentType AS payment_type, pt.PaymentProviderName AS payment_provider_name,
