@@ -23,7 +23,7 @@ from .tokens import text_batches
 THRESHOLD = 0.7
 # Bounds of the training: labelled rows, features, and swaps taken from one document.
 ROWS, FEATURES, SWAPS = 20_000, 20_000, 8
-LEAST_DOCS, LEAST_LIFT = 5, 3.0
+LEAST_DOCS, LEAST_LIFT = 3, 3.0
 BEGINNINGS = (3, 4, 5, 6)
 PENALTY, RIDGE, STEPS, RATE = 10.0, 1e-4, 400, 0.1
 
