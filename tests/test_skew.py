@@ -44,6 +44,27 @@ def test_hot_item_is_ranked_in_slices(hot):
     assert windows and all("_slice" in line for line in windows)
 
 
+@pytest.mark.parametrize("when", ["2024-05-05 10:00:00", None])
+def test_hot_item_with_all_events_in_one_second(spark, hot, when):
+    rows, df = hot
+    ids = defaultdict(list)
+    for k, i, *_ in rows:
+        ids[k].append(i)
+    same = df.withColumn("k", F.nullif("k", F.lit("k1"))).withColumn("t", F.lit(when).cast("timestamp"))
+    ranked = wi.rank_events(same, ["k"], "t", "id", slices=64)
+    assert {r.id: r.rn for r in ranked.collect()} == {i: n for group in ids.values() for n, i in enumerate(sorted(group), 1)}
+    cuts = wi._slices(same, ["k"], F.struct(F.col("t").isNull(), "t", "id"), 64)
+    assert {r.k: len(r["_cuts"]) for r in cuts.collect()}["hot"] > 12
+
+
+def test_ranks_of_equal_rows_and_of_no_rows(spark):
+    df = spark.createDataFrame([("a", 1, 1)] * 5 + [("a", None, None)] * 2 + [(None, 2, None)], "k string, t int, id int")
+    ranked = wi.rank_events(df, ["k"], "t", "id", slices=4).collect()
+    assert sorted(r.rn for r in ranked if r.k) == [1, 2, 3, 4, 5, 6, 7]
+    assert sorted(r.rn for r in ranked if r.k and r.t is None) == [6, 7] and [r.rn for r in ranked if not r.k] == [1]
+    assert wi.rank_events(df.limit(0), ["k"], "t", "id").count() == 0
+
+
 def test_sum_beside_each_row(hot):
     rows, df = hot
     sums = Counter()
