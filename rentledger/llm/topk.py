@@ -155,11 +155,11 @@ def search(vectors: DataFrame, scratch: Scratch, k: int = K, every: int = EVERY,
     total, asking, longest = rows.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0), F.max(F.length("terms"))).first()
     width, groups = max(1, (longest or 0) // 4), max(1, -(-asking // QUERIES))
     leaders = [bytes(r[0]) for r in rows.orderBy(F.xxhash64("vec_id", "row_no")).limit(LEADERS).select("terms").collect()]
-    blocks = scratch.save(forward_blocks(rows, leaders, width, max(1, -(-total // SHARD))), "blocks")
-    shards = [r[0] for r in blocks.select("shard").distinct().collect()]
+    shards = max(1, -(-total // SHARD))
+    blocks = scratch.save(forward_blocks(rows, leaders, width, shards), "blocks")
     none = F.lit(None).cast("binary")
     queries = rows.where(F.col("vec_id") % every == 0).select(
-        F.explode(F.array(*map(F.lit, shards)).cast("array<int>")).alias("shard"),
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
         F.pmod(F.xxhash64("row_no"), F.lit(groups)).cast("int").alias("group"),
         F.col("row_no").alias("query"), "vec_id", none.alias("ids"), "terms", none.alias("top"), none.alias("bottom"),
     )
