@@ -14,7 +14,7 @@ import xxhash
 from oracle_check import compare
 from pyspark.sql import functions as F
 
-from rentledger.llm import chunks, html, mixing, packing, queries, sharding, simhash, tokenbin, tokens, topk, toxicity, warc
+from rentledger.llm import chunks, html, jaccard, mixing, packing, queries, sharding, simhash, tokenbin, tokens, topk, toxicity, warc
 from rentledger.llm.common import Scratch
 
 WORDS = "the of and rental bike boat price für été niño 42 don't re-use x".split()
@@ -469,3 +469,28 @@ def test_pipeline_stages(spark, folder):
     again = corpus_pipeline.run(spark, folder).collect()
     key = lambda r: (r.doc_id or -1, r.piece, r.start, r.length, r.ids_crc32)
     assert sorted(map(key, packed)) == sorted(map(key, again))
+
+
+def test_near_stage_links_similar_shingles(spark):
+    """Planted near copies around a Jaccard of 0.8, against all pairs of plain shingle sets."""
+    import corpus_pipeline
+
+    rnd, texts = random.Random(12), []
+    for _ in range(40):
+        base = [f"w{rnd.randrange(5000)}" for _ in range(rnd.randrange(60, 300))]
+        texts.append(base)
+        for edits in (1, 2, 3, 4, 5, 6):
+            copy = list(base)
+            for at in rnd.sample(range(len(base)), edits):
+                copy[at] = f"v{rnd.randrange(5000)}"
+            texts.append(copy)
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = [frozenset(tuple(t[i : i + 5]) for i in range(len(t) - 4)) for t in texts]
+    root = roots(sets, lambda a, b: 5 * len(a & b) >= 4 * len(a | b))
+    scratch = Scratch(spark, "t")
+    at = scratch.save(spark.createDataFrame(docs, "doc_id long, text string"), "docs")
+    near = {r.doc_id for r in corpus_pipeline.STAGES[2][1](spark, at, "").collect()}
+    assert near == set(root) and 40 < len(near) < 200
+    # Clusters cut into many blocks give the same.
+    assert {r.doc_id for r in jaccard.keep_one(at, Scratch(spark, "t"), block=(300, 300)).collect()} == near
+    assert jaccard.missed(0.8) < 1e-6
