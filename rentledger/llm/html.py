@@ -46,7 +46,11 @@ _DROP_NAMES = set(
 )
 _WHOLE = {"article", "main"}
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/"']|$)""", re.I)
+_S = r"[ \t\n\f\r]"
+# An attribute: name, =, value in double or single quotes or bare. A quote opens only behind =, and only if it is closed.
+_ATTRIBUTE = rf"""[ \t\n\f\r/]*+([^ \t\n\f\r/>][^ \t\n\f\r/>=]*+)(?:{_S}*+={_S}*+("[^"]*"|'[^']*'|[^ \t\n\f\r>]*+))?+"""
+_TAG_REST = re.compile(rf"(?:{_ATTRIBUTE})*+[ \t\n\f\r/]*+")
+_ATTRIBUTE = re.compile(_ATTRIBUTE)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -57,8 +61,12 @@ class Node:
         self.tag, self.parent, self.items = tag, parent, []
         self.names, self.role, self.hidden = (), "", False
         if attributes:
+            seen: set[str] = set()
             for m in _ATTRIBUTE.finditer(attributes):
                 name, value = m[1].lower(), (m[2] or "").strip("\"'")
+                if name in seen or name not in ("class", "id", "role", "hidden", "style"):
+                    continue
+                seen.add(name)
                 if name in ("class", "id"):
                     self.names += tuple(w.lower() for w in _WORD.findall(value))
                 elif name == "role":
@@ -96,12 +104,8 @@ def parse(html: str) -> list[Node]:
                 stack[-1].items.append(("<", links > 0))
                 at = lt + 1
             continue
-        gt = html.find(">", name.end())
-        while gt >= 0 and gt - lt < 10_000 and html.count('"', name.end(), gt) % 2:
-            more = html.find(">", gt + 1)
-            if more < 0:
-                break
-            gt = more
+        gt = _TAG_REST.match(html, name.end()).end()
+        gt = gt if gt < n else -1
         at = n if gt < 0 else gt + 1
         tag, attributes = name[0].lower(), html[name.end() : n if gt < 0 else gt]
         if tag == "br":

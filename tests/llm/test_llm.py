@@ -316,6 +316,22 @@ def test_main_text():
     html.main_text("<div>" * 20_000 + "deep" + "<" * 1000)
 
 
+def test_tags_end_by_their_attributes():
+    """Quotes open only behind =; a quoted value may hold anything, at any length; the other kind of quote counts for nothing."""
+    body = " ".join(BODY[3:-4].split())
+    state = '{"a": "<p>no > text</p>"} ' * 5000
+    for tag in (
+        """<p title='5" disk'>""", """<p title="it's">""", '<a href="x"">', "<p a=b'c>", """<p title = "a > b" x='c > d' y=e/>""", "<p title='hidden id=nav'>",
+        """<p data-class=nav data-hidden aria-hidden="false">""", f"<div data-state='{state}'>", '<div title="' + "a > <p>no</p> " * 8000 + '">', "<p ='x'>",
+    ):
+        assert html.main_text(f"<article>{tag}{body}</article>") == body, tag[:40]
+    many = "".join(f"<p>{i} {body}</p>" for i in range(60))
+    for tag in ("<p title='5\" disk'>", '<p><a href="x"">link</a>'):
+        assert len(html.main_text(f"<article>{tag}{body}</p>{many}</article>").split("\n")) == 61
+    assert html.main_text(f"<article><p title='>{body}</p></article>") == body  # never closed: not a quote
+    html.main_text("<p a='" * 30_000 + "<p b=\"" * 30_000)
+
+
 def test_op4(spark, folder):
     got = run(spark, "op4_main_text", folder).collect()
     assert len(got) == 8 and all(r.n_chars == len(r.text) for r in got)
