@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from heapq import heappop, heappush
 from html import unescape
 from math import e, log
 
@@ -44,6 +45,11 @@ _DROP_NAMES = set(
     "consent gdpr notice notices popup modal overlay newsletter subscribe signup login share sharing social related "
     "recommended pagination pager toolbar copyright".split()
 )
+# Of these, the names of what other people wrote or of other pages; they count for article elements as well.
+_OTHERS = set("comment comments disqus respond reply replies related recommended".split())
+_HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
+# Characters outside links and headings from which text counts as a page's own when no article element holds it.
+_PROSE = 60
 _WHOLE = {"article", "main"}
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _S = r"[ \t\n\f\r]"
@@ -149,15 +155,62 @@ def parse(html: str) -> list[Node]:
     return nodes
 
 
+def _others(nodes: list[Node]) -> set[int]:
+    """Nodes that their own names declare as comments or related posts.
+
+    If the page has no text of its own outside them, the largest is a wrapper and doesn't count, and so on inside it, until
+    text of its own is found.
+    """
+    named = {id(x) for x in nodes if x.parent is not None and x.tag not in ("html", "body") and not _OTHERS.isdisjoint(x.names)}
+    if not named:
+        return named
+    # By region, which is the nearest named ancestor: own characters, whether an article holds some, regions inside.
+    region, inner, size, articles, whole, dead = {}, {}, {}, set(), set(), set()
+    for x in nodes:
+        up = id(x.parent) if x.parent is not None else None
+        if up in dead or x.tag in _DROP - {"form"} or x.role in _DROP_ROLES - {"form"}:
+            dead.add(id(x))
+            continue
+        region[id(x)] = mine = id(x) if id(x) in named else region.get(up)
+        if id(x) in named:
+            inner.setdefault(region.get(up), []).append(id(x))
+        if x.tag in _WHOLE or x.role == "main" or up in whole and id(x) not in named:
+            whole.add(id(x))
+        if x.tag not in _HEADINGS:
+            own = sum(len(" ".join(i[0].split())) for i in x.items if type(i) is tuple and not i[1])
+            size[mine] = size.get(mine, 0) + own
+            if own and id(x) in whole:
+                articles.add(mine)
+    total = dict(size)
+    for x in reversed(nodes):
+        if id(x) in named and id(x) in region:
+            up = region.get(id(x.parent))
+            total[up] = total.get(up, 0) + total.get(id(x), 0)
+    opened, todo, at = set(), [], None
+    while at not in articles and size.get(at, 0) < _PROSE:
+        for k in inner.get(at, ()):
+            heappush(todo, (-total.get(k, 0), len(todo) + len(opened), k))
+        if not todo:  # nowhere enough: what stands outside is the page, if there is anything
+            return named if size.get(None) else set()
+        at = heappop(todo)[2]
+        opened.add(at)
+    return named - opened
+
+
 def _cut_off(nodes: list[Node]) -> None:
-    """Mark what isn't main text by its own declaration. Names don't count for a node that holds most of the page or an article."""
+    """Mark what isn't main text by its own declaration.
+
+    Comments and related posts are cut wherever the page has text beside them. Other names, and being a form or hidden, don't count
+    for a node that holds an article or most of the rest of the page.
+    """
+    others = _others(nodes)
     holds, chars = set(), {}
     for node in reversed(nodes):
         own = sum(len(i[0]) for i in node.items if type(i) is tuple) + chars.get(id(node), 0)
         chars[id(node)] = own
-        if node.parent is not None:
+        if node.parent is not None and id(node) not in others:
             up = id(node.parent)
-            if node.tag not in _DROP:
+            if node.tag not in _DROP or node.tag == "form":
                 chars[up] = chars.get(up, 0) + own
             if node.tag in _WHOLE or node.role == "main" or id(node) in holds:
                 holds.add(up)
@@ -166,13 +219,18 @@ def _cut_off(nodes: list[Node]) -> None:
         up = node.parent
         if up is not None and (id(up) in inside or up.tag in _WHOLE or up.role == "main"):
             inside.add(id(node))
+        most = id(node) in holds or 2 * chars[id(node)] > page
         if up is not None and up.cut:
             node.cut = True
         elif node.tag in ("html", "body", "#page"):
             node.cut = False
-        elif node.tag in _DROP or node.hidden or node.role in _DROP_ROLES:
+        elif id(node) in others:
+            node.cut = True
+        elif node.tag in _DROP - {"form"} or node.role in _DROP_ROLES - {"form"}:
+            node.cut = True
+        elif (node.tag == "form" or node.role == "form" or node.hidden) and not most:
             node.cut = True
-        elif node.tag in _WHOLE or node.role == "main" or id(node) in holds or 2 * chars[id(node)] > page:
+        elif node.tag in _WHOLE or node.role == "main" or most:
             node.cut = False
         else:
             header = node.tag == "header" or "header" in node.names and node.tag == "div"

@@ -332,6 +332,25 @@ def test_tags_end_by_their_attributes():
     html.main_text("<p a='" * 30_000 + "<p b=\"" * 30_000)
 
 
+def test_wrappers_stay_and_comments_go():
+    body, said = " ".join(BODY[3:-4].split()), "<p>" + "I liked this boat very much indeed. " * 9 + "</p>"
+    comments = "<section id='comments'>" + f"<article class='comment-body'>{said}</article>" * 12 + "</section>"
+    related = "<div class='related-posts'>" + f"<article class='card'>{said}</article>" * 4 + "</div>"
+    for page in (
+        f"<body><form id='aspnetForm' method=post><nav>Menu</nav><div>{BODY}{BODY}</div></form>",
+        f"<form role=form><article>{BODY}{BODY}</article></form>",
+        f"<div style='display: none'><div>{BODY}{BODY}</div></div><p>Wait</p>",
+        f"<main><article>{BODY}{BODY}</article>{comments}</main>",
+        f"<article>{BODY}{BODY}</article>{comments}{related}",
+        f"<div id=post>{BODY}{BODY}</div>{related}",
+        f"<div id=post>{BODY}{BODY}</div><div class=comments><div>{said * 20}</div></div>",
+        f"<div class='wrap related-on'><h1>A heading</h1><div class='text'>{BODY}{BODY}</div><div class=comments>{said * 9}</div></div>",
+    ):
+        got = html.main_text(page).removeprefix("A heading\n")
+        assert got == f"{body}\n{body}", page[:60]
+    assert html.main_text(f"<div>{BODY}{BODY}</div><form>Mail <p>us</p></form><div hidden>{said}</div>") == f"{body}\n{body}"
+
+
 def test_op4(spark, folder):
     got = run(spark, "op4_main_text", folder).collect()
     assert len(got) == 8 and all(r.n_chars == len(r.text) for r in got)
