@@ -2,8 +2,8 @@
 
 The tokenizer splits a text before it merges bytes, and a space that follows a non-space character always starts
 a new split. Text between such spaces can therefore be encoded once, split by split, and looked up afterwards. Texts with
-other white space than single spaces and single line feeds, or with characters outside the common Latin blocks,
-are given to the library whole.
+other white space than single spaces and single line feeds, with characters outside the common Latin blocks, or with an
+added token of the vocabulary (special ones included) are given to the library whole.
 """
 
 from __future__ import annotations
@@ -84,9 +84,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model, self.memo = self.tokenizer.model, _Memo(self._piece, memo)
         parts = json.loads(self.tokenizer.to_str())
+        added = [re.escape(t["content"]) for t in parts["added_tokens"] if t["content"]]
+        self.added = re.compile("|".join(added)).search if added else lambda text: None
+        # Added tokens that take in white space, or look at what stands beside them, leave no safe place for a cut.
+        self.apart = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in parts["added_tokens"])
         pre = parts["pre_tokenizer"] or {}
         self.byte_level = (
             parts["model"]["type"] == "BPE"
@@ -111,11 +114,11 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
-        parts = [(i, s) for i, t in enumerate(texts) for s in (segments(t) if len(t) > SEGMENT else (t,))]
+        parts = [(i, s) for i, t in enumerate(texts) for s in (segments(t) if len(t) > SEGMENT and (self.apart or not self.added(t)) else (t,))]
         done: list[bytes | None] = [None] * len(parts)
         whole, get = [], self.memo.__getitem__
         for k, (_, s) in enumerate(parts):
-            if not self.byte_level or _WHOLE.search(s):
+            if not self.byte_level or _WHOLE.search(s) or self.added(s):
                 whole.append(k)
             else:
                 pieces = s.replace(" ", _CUT + " ").replace("\n", _CUT + "\n" + _CUT).split(_CUT)

@@ -96,6 +96,16 @@ def test_encoder_is_the_library():
     assert e.encode(texts) == want
 
 
+def test_added_tokens_are_those_of_a_fresh_tokenizer():
+    from tokenizers import Tokenizer
+
+    fresh, e = Tokenizer.from_file(tokens.default_path()), tokens.Encoder(tokens.default_path())
+    long_ = "word and <|endoftext|> more<|endoftext|> x " * (tokens.SEGMENT // 20)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|>b\n<|endoftext|>", "a <|endoftext| > b", "plain text", long_]
+    want = [np.array(x.ids, "<u4").tobytes() for x in fresh.encode_batch(texts, add_special_tokens=False)]
+    assert e.encode(texts) == want and np.frombuffer(want[0], "<u4").tolist() == [64, 220, 50256, 275]
+
+
 def test_every_character_of_the_fast_path():
     e = tokens.Encoder(tokens.default_path())
     fast = [chr(c) for c in range(0x3000) if not tokens._WHOLE.search(chr(c))]
