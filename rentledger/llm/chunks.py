@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, numbered, row_number
 
 # Characters of a chunk: least, greatest; and what may end one.
 LEAST, GREATEST = 1024, 8192
@@ -25,11 +25,14 @@ def cut(text: Column, least: int = LEAST, greatest: int = GREATEST, boundary: st
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def recipes(docs: DataFrame, **cuts) -> DataFrame:
-    """``doc_id, row_no, recipe, text_sha256``; ``row_no`` tells rows with the same doc_id apart."""
+def recipes(docs: DataFrame, number: str | None = None, **cuts) -> DataFrame:
+    """``doc_id, row_no, recipe, text_sha256``; ``row_no`` tells rows with the same doc_id apart.
+
+    ``number`` names a column of stored row numbers; without it they are made in this pass.
+    """
     text = F.coalesce("text", F.lit(""))
     ids = F.transform(cut(F.col("text"), **cuts), lambda c: F.unhex(F.sha2(c.cast("binary"), 256)))
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row_no"), text.alias("text"))
+    rows = docs.select("doc_id", row_number(number), text.alias("text"))
     return rows.select("doc_id", "row_no", ids.alias("recipe"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
@@ -40,7 +43,7 @@ def chunk_ids(docs: DataFrame, **cuts) -> DataFrame:
     return chunks.groupBy("chunk_id").agg(F.count("*").alias("texts"))
 
 
-def exact_groups(docs: DataFrame, scratch: Scratch, **cuts) -> DataFrame:
+def exact_groups(docs: DataFrame, scratch: Scratch, number: str | None = None, **cuts) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256, row_no``.
 
     The largest doc_id of equal texts stays; null texts count as empty, and empty texts are equal. Of rows that repeat the
@@ -51,7 +54,7 @@ def exact_groups(docs: DataFrame, scratch: Scratch, **cuts) -> DataFrame:
     if clash:
         raise ValueError("two different chunks share a SHA-256; identifiers can't be used")
     # Written once, so that both sides of the join below are plain shuffles, which Spark can split at a hot recipe.
-    lists = scratch.save(recipes(docs, **cuts), "recipes")
+    lists = scratch.save(recipes(docs, number, **cuts), "recipes")
     order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "row_no")
     groups = lists.groupBy("recipe").agg(F.max(order).alias("keep"), F.count("*").alias("group_size"))
     groups = scratch.save(groups, "groups")
@@ -62,9 +65,9 @@ def exact_groups(docs: DataFrame, scratch: Scratch, **cuts) -> DataFrame:
 
 def keep_one(docs: DataFrame, scratch: Scratch, **cuts) -> DataFrame:
     """The rows of ``docs`` that stay, all columns."""
-    marked = docs.withColumn("_row_no", F.monotonically_increasing_id())
-    stays = exact_groups(docs, scratch, **cuts).where("kept").select(F.col("row_no").alias("_row_no"))
-    return marked.join(stays, "_row_no", "left_semi").drop("_row_no")
+    rows, number = numbered(docs, scratch)
+    stays = exact_groups(rows, scratch, number, **cuts).where("kept").select(F.col("row_no").alias(number))
+    return rows.join(stays, number, "left_semi").drop(number)
 
 
 SQL = """

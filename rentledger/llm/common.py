@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,6 +52,23 @@ class Scratch:
         target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def numbered(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
+    """A written copy of ``docs`` with a number beside each row, and the name of that column.
+
+    How files are packed into partitions, and with it a number taken from a scan, changes with the executors that are there. Stages
+    that read a table more than once and join on row numbers read this copy, whose numbers are stored.
+    """
+    column, taken = "_row_no", {c.lower() for c in docs.columns}
+    while column in taken:
+        column += "_"
+    return scratch.save(docs.withColumn(column, F.monotonically_increasing_id()), "numbered"), column
+
+
+def row_number(column: str | None):
+    """The stored row number, or one that holds for a single pass over the rows."""
+    return (F.col(column) if column else F.monotonically_increasing_id()).alias("row_no")
+
+
 def open_folder(uri: str):
     """``(filesystem, path)`` of a folder or file for use inside a task; any scheme that pyarrow knows."""
     from pyarrow import fs

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, numbered, row_number
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -22,11 +22,11 @@ RANGE_DIGITS = 3
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
-def measured(docs: DataFrame, seed: str = SEED) -> DataFrame:
+def measured(docs: DataFrame, seed: str = SEED, number: str | None = None) -> DataFrame:
     """``doc_id, row_no, source, size, key``; the size is the number of words, 0 for a null text."""
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long")
     key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    return docs.select("doc_id", F.monotonically_increasing_id().alias("row_no"), "source", size.alias("size"), key.alias("key"))
+    return docs.select("doc_id", row_number(number), "source", size.alias("size"), key.alias("key"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
@@ -53,13 +53,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return filled.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, scratch: Scratch, digits: int = RANGE_DIGITS, **rules) -> DataFrame:
+def mix(docs: DataFrame, scratch: Scratch, digits: int = RANGE_DIGITS, number: str | None = None, **rules) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken, row_no``.
 
     ``taken`` is 0, 1 or 2 times the size (with the default rules). Repeated rows are separate documents; ties of the key are
     ordered by doc_id and size. An empty table gives no rows. Other columns are ignored.
     """
-    sizes = scratch.save(measured(docs, rules.pop("seed", SEED)), "sizes")
+    sizes = scratch.save(measured(docs, rules.pop("seed", SEED), number), "sizes")
     range_ = F.substring("key", 1, digits)
     rows = sizes.withColumn("range", range_)
     goals = targets(sizes, **rules)
@@ -81,11 +81,11 @@ def mix(docs: DataFrame, scratch: Scratch, digits: int = RANGE_DIGITS, **rules)
 
 def apply_mix(docs: DataFrame, scratch: Scratch, **rules) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it. Documents without words are kept once: they cost nothing."""
-    marked = docs.withColumn("_row_no", F.monotonically_increasing_id())
+    rows, number = numbered(docs, scratch)
     times = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1).cast("int")
-    taken = mix(docs, scratch, **rules).select(F.col("row_no").alias("_row_no"), times.alias("_times")).where("_times > 0")
-    repeated = marked.join(taken, "_row_no").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return repeated.select(*docs.columns)
+    taken = mix(rows, scratch, number=number, **rules).select(F.col("row_no").alias(number), times.alias(f"{number}_times")).where(f"{number}_times > 0")
+    copies = F.explode(F.sequence(F.lit(1), F.col(f"{number}_times"))).alias(f"{number}_copy")
+    return rows.join(taken, number).select(*docs.columns, copies).drop(f"{number}_copy")
 
 
 def _sql() -> str:

@@ -5,7 +5,7 @@ within a radius of the vantage point go one way, the others the other way. Every
 triangle inequality a partner within ``distance`` of a point can only live in shards whose border the point is near; the point
 is sent there as well, and to no other. Inside a shard the same pruning goes on in memory until the sides are small
 enough to compare. A shard reports a forest of links, not all pairs, so a large group of near copies stays linear.
-Links over all shards are then joined to components by label propagation with pointer jumping.
+Links over all shards are then joined to components by contraction.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, numbered, row_number
 from .tokens import text_batches
 
 WORDS = 3
@@ -51,7 +51,7 @@ def fingerprint(text: str, words: int = WORDS, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(ends)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED, number: str | None = None) -> DataFrame:
     """``doc_id, row_no, fp`` of whole texts; ``fp`` is the fingerprint as a signed long. Null text counts as empty."""
 
     def run(batches) -> Iterator:
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataF
                 fp = pa.array(np.array(made, np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fp], names=["doc_id", "row_no", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row_no"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_number(number), "text")
     return rows.mapInArrow(run, "doc_id long, row_no long, fp long")
 
 
@@ -236,35 +236,57 @@ def links(points: DataFrame, scratch: Scratch, distance: int = DISTANCE, shard:
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """``node, label`` of every node of the edges ``a, b``; the label is the smallest node of the component.
 
-    Each round takes the smallest label of the neighbours, then the label of the label. All tables are written, so both sides of
-    every join are plain shuffles, which Spark splits at a hot node.
+    Rounds of contraction: every node draws a number, new in each round, and hooks onto the neighbour with the smallest one if that is
+    below its own; so at least half of the nodes are expected to hook, whatever the graph. Hooks are followed to their roots
+    by pointer jumping, edges are drawn between roots, and what remains is the next, smaller graph. The rounds grow with the
+    logarithm of the nodes, also along a chain. All tables are written, so both sides of every join are plain shuffles, which
+    Spark splits at a hot node, and no round holds more edges than the one before.
     """
-    both = edges.select("a", "b").union(edges.select("b", "a")).distinct()
-    both = scratch.save(both, "edges")
-    state = scratch.save(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "label0")
-    k = 0
-    while True:
-        near = both.join(state, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
-        lower = state.join(near, F.col("node") == F.col("a")).select("node", F.least("label", "near").alias("label"))
-        lower = scratch.save(lower, f"lower{k}")
-        up = lower.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        new = scratch.save(lower.join(up, "label").select("node", F.col("up").alias("label")), f"label{k + 1}")
-        moved = new.join(state.withColumnRenamed("label", "old"), "node").where("label <> old").limit(1).count()
-        scratch.drop(f"lower{k}")
-        scratch.drop(f"label{k}")
-        state, k = new, k + 1
-        if not moved:
-            return state
-
-
-def near_groups(docs: DataFrame, scratch: Scratch, words: int = WORDS, seed: int = SEED, distance: int = DISTANCE) -> DataFrame:
+    plain = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    plain, levels = scratch.save(plain, "edges0"), []
+    while plain.limit(1).count():
+        k = len(levels)
+        both = plain.select("a", "b").union(plain.select("b", "a"))
+        drawn = F.struct(F.xxhash64("b", F.lit(k)), "b")
+        low = both.groupBy("a").agg(F.min(drawn).alias("low"))
+        parent = F.when(F.col("low") < F.struct(F.xxhash64("a", F.lit(k)), "a"), F.col("low.b")).otherwise(F.col("a"))
+        level, j = scratch.save(low.select(F.col("a").alias("node"), parent.alias("parent")), f"level{k}-0"), 0
+        while True:
+            up = level.select(F.col("node").alias("parent"), F.col("parent").alias("up"))
+            jumped = level.join(up, "parent").select("node", F.col("up").alias("parent"), (F.col("up") != F.col("parent")).alias("moved"))
+            jumped, j = scratch.save(jumped, f"level{k}-{j + 1}"), j + 1
+            scratch.drop(f"level{k}-{j - 1}")
+            level = jumped.select("node", "parent")
+            if not jumped.where("moved").limit(1).count():
+                break
+        levels.append(level)
+        ends = plain.join(level.select(F.col("node").alias("a"), F.col("parent").alias("x")), "a")
+        ends = ends.join(level.select(F.col("node").alias("b"), F.col("parent").alias("y")), "b")
+        rest = ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        plain = scratch.save(rest, f"edges{k + 1}")
+        scratch.drop(f"edges{k}")
+    if not levels:
+        return plain.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    roots = levels.pop()
+    while levels:
+        level = levels.pop()
+        above = roots.select(F.col("node").alias("parent"), F.col("parent").alias("root"))
+        roots = level.join(above, "parent", "left").select("node", F.coalesce("root", "parent").alias("parent"))
+        roots = scratch.save(roots, f"roots{len(levels)}")
+    least = scratch.save(roots.groupBy("parent").agg(F.min("node").alias("label")), "least")
+    return scratch.save(roots.join(least, "parent").select("node", "label"), "labels")
+
+
+def near_groups(
+    docs: DataFrame, scratch: Scratch, words: int = WORDS, seed: int = SEED, distance: int = DISTANCE, number: str | None = None
+) -> DataFrame:
     """One row per document: ``doc_id, fp, component_id, row_no, keep_row``.
 
     ``component_id`` is the smallest doc_id reachable over fingerprints at most ``distance`` bits apart, null if none there has one;
     ``keep_row`` is the row_no of the document that a dedup keeps. Empty and null texts have fingerprint 0 and are linked
     like any other; an empty table gives no rows. Other columns are ignored.
     """
-    prints = scratch.save(fingerprints(docs, words, seed), "prints")
+    prints = scratch.save(fingerprints(docs, words, seed, number), "prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_no")).alias("first")
     points = scratch.save(prints.groupBy("fp").agg(first), "points")
     labels = components(links(points, scratch, distance), scratch)
@@ -278,6 +300,6 @@ def near_groups(docs: DataFrame, scratch: Scratch, words: int = WORDS, seed: int
 
 def keep_one(docs: DataFrame, scratch: Scratch, **rules) -> DataFrame:
     """The rows of ``docs`` that stay, one of each component, all columns."""
-    marked = docs.withColumn("_row_no", F.monotonically_increasing_id())
-    stays = near_groups(docs, scratch, **rules).where("row_no = keep_row").select(F.col("row_no").alias("_row_no"))
-    return marked.join(stays, "_row_no", "left_semi").drop("_row_no")
+    rows, number = numbered(docs, scratch)
+    stays = near_groups(rows, scratch, number=number, **rules).where("row_no = keep_row").select(F.col("row_no").alias(number))
+    return rows.join(stays, number, "left_semi").drop(number)

@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, numbered, row_number
 from .tokens import text_batches
 
 THRESHOLD = 0.7
@@ -196,7 +196,7 @@ def _fit(places: dict[str, int], made: list, penalty: float) -> Model:
     return Model(places, w.tolist(), float(b))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Model, number: str | None = None) -> DataFrame:
     """``doc_id, row_no, score`` of whole texts; null and empty texts get the score of the bias."""
     places, weights, bias = model
 
@@ -218,23 +218,23 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     scores.append(1 / (1 + exp(-max(-30.0, min(30.0, z)))))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())], names=["doc_id", "row_no", "score"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row_no"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_number(number), "text")
     return rows.mapInArrow(run, "doc_id long, row_no long, score double")
 
 
-def classify(docs: DataFrame, labels: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, scratch: Scratch, threshold: float = THRESHOLD, number: str | None = None) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted, row_no``.
 
     Inputs of a score are the words of the text alone. Repeated rows are scored alike; labels of one id that differ count as toxic; a
     null doc_id isn't held out. Other columns are ignored.
     """
-    scored = score(docs, train(docs, labels, scratch))
+    scored = score(docs, train(docs, labels, scratch), number)
     predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted, "row_no")
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that aren't rejected, all columns."""
-    marked = docs.withColumn("_row_no", F.monotonically_increasing_id())
-    clean = classify(docs, labels, scratch, threshold).where("predicted = 0").select(F.col("row_no").alias("_row_no"))
-    return marked.join(clean, "_row_no", "left_semi").drop("_row_no")
+    rows, number = numbered(docs, scratch)
+    clean = classify(rows, labels, scratch, threshold, number).where("predicted = 0").select(F.col("row_no").alias(number))
+    return rows.join(clean, number, "left_semi").drop(number)
