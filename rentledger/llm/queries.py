@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, html, mixing, packing, sharding, simhash, tokenbin, topk, toxicity, warc
+from . import chunks, collocations, divergence, html, mixing, packing, sharding, simhash, tokenbin, tokencount, topk, toxicity, warc
 from .common import Scratch
 
 
@@ -61,6 +61,18 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenbin.read_ids(manifest, scratch)
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"), Scratch(spark, "phrases"))
+
+
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencount.count_tokens(_table(spark, folder, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(_table(spark, folder, "documents"), Scratch(spark, "divergence"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -72,10 +84,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_topk": op9_topk,
     "op10_token_ids": op10_token_ids,
+    "op11_collocations": op11_collocations,
+    "op12_token_counts": op12_token_counts,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 SQL: dict[str, str] = {
     "op5_exact_dedup": chunks.SQL,
     "op6_source_mixing": mixing.SQL,
     "op9_topk": topk.SQL,
+    "op11_collocations": collocations.SQL,
+    "op13_source_divergence": divergence.SQL,
 }
