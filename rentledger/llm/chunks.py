@@ -28,7 +28,7 @@ def cut(text: Column, least: int = LEAST, greatest: int = GREATEST, boundary: st
 def recipes(docs: DataFrame, number: str | None = None, **cuts) -> DataFrame:
     """``doc_id, row_no, recipe, text_sha256``; ``row_no`` tells rows with the same doc_id apart.
 
-    ``number`` names a column of stored row numbers; without it they are made in this pass.
+    ``number`` names a column that numbers the rows; without it they are made in this pass.
     """
     text = F.coalesce("text", F.lit(""))
     ids = F.transform(cut(F.col("text"), **cuts), lambda c: F.unhex(F.sha2(c.cast("binary"), 256)))

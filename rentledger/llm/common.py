@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,22 +54,31 @@ class Scratch:
 
 
 def numbered(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
-    """A written copy of ``docs`` with a number beside each row, and the name of that column.
+    """``docs`` with a name for each row that holds in every pass over it, and the name of that column.
 
-    How files are packed into partitions, and with it a number taken from a scan, changes with the executors that are there. Stages
-    that read a table more than once and join on row numbers read this copy, whose numbers are stored.
+    How files are packed into partitions, and with it a number taken from a scan, changes with the executors that are there. Rows of Parquet files are
+    named by their file and their place in it, 24 bytes. Other frames are written once with numbers beside the rows.
     """
     column, taken = "_row_no", {c.lower() for c in docs.columns}
     while column in taken:
         column += "_"
-    return scratch.save(docs.withColumn(column, F.monotonically_increasing_id()), "numbered"), column
+    try:
+        place = docs.metadataColumn("_metadata")
+        file = F.unhex(F.md5(place["file_path"].cast("binary")))
+        return docs.withColumn(column, F.concat(file, F.unhex(F.lpad(F.hex(place["row_index"]), 16, "0")))), column
+    except AnalysisException:
+        return scratch.save(docs.withColumn(column, F.monotonically_increasing_id()), "numbered"), column
 
 
 def row_number(column: str | None):
-    """The stored row number, or one that holds for a single pass over the rows."""
+    """The name of the row, or a number that holds for a single pass over the rows."""
     return (F.col(column) if column else F.monotonically_increasing_id()).alias("row_no")
 
 
+def type_of(rows: DataFrame, column: str) -> str:
+    return rows.schema[column].dataType.simpleString()
+
+
 def open_folder(uri: str):
     """``(filesystem, path)`` of a folder or file for use inside a task; any scheme that pyarrow knows."""
     from pyarrow import fs

@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, numbered, row_number
+from .common import Scratch, numbered, row_number, type_of
 from .tokens import text_batches
 
 WORDS = 3
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED, number:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fp], names=["doc_id", "row_no", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_number(number), "text")
-    return rows.mapInArrow(run, "doc_id long, row_no long, fp long")
+    return rows.mapInArrow(run, f"doc_id long, row_no {type_of(rows, 'row_no')}, fp long")
 
 
 def hex_digits(fp: Column) -> Column:

@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, numbered, row_number
+from .common import Scratch, numbered, row_number, type_of
 from .tokens import text_batches
 
 THRESHOLD = 0.7
@@ -219,7 +219,7 @@ def score(docs: DataFrame, model: Model, number: str | None = None) -> DataFrame
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())], names=["doc_id", "row_no", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_number(number), "text")
-    return rows.mapInArrow(run, "doc_id long, row_no long, score double")
+    return rows.mapInArrow(run, f"doc_id long, row_no {type_of(rows, 'row_no')}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, scratch: Scratch, threshold: float = THRESHOLD, number: str | None = None) -> DataFrame:
