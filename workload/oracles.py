@@ -591,7 +591,7 @@ SQL = {
     "named_view": f"SELECT order_id, order_item_id, payment_transaction_id, paid_amount, location_name, site_name FROM ({PAYMENTS_VIEW}) v",
     "literal_table": f"SELECT OrderNumber AS order_number, OrderNumber IN (SELECT order_number FROM {LISTED} i) AS listed FROM m_Orders",
     "report_sink": f'WITH {ORDER_CURRENT} SELECT "Line Item ID" AS line_item, "Total Collected" AS total_collected, "Order Amount" AS order_amount FROM report',
-    "csv_report_io": "SELECT Id, Source, PaymentType, concat('say \"', Status, '\", ok') AS Note, cast(Amount as varchar) AS Amount FROM m_PaymentTransactions",
+    "csv_report_io": "SELECT Id, Source, PaymentType, concat('say \"', Status, '\",', chr(10), 'ok', chr(10), chr(10), '\"') AS Note, cast(Amount as varchar) AS Amount FROM m_PaymentTransactions",
     "rename_project": """SELECT Id AS order_item_id, OrderId AS order_id, ProductId AS product_id, LocationId AS location_id, SiteId AS site_id,
   RentalTypeId AS rental_type_id, CouponDiscount AS coupon_discount, Tip AS tip, Discount AS discount, SalesTax AS sales_tax, DeliveryFee AS item_delivery_fee,
   TotalAmount AS total_amount_items, Total AS total_items, IsRefunded AS is_refunded, PartnerId AS partner_id FROM m_OrderItems""",

@@ -149,9 +149,10 @@ def report_sink(m):
 @query
 def csv_report_io(m):
     path = scratch(m)
-    out = m["PaymentTransactions"].select("Id", "Source", "PaymentType", F.concat(F.lit('say "'), "Status", F.lit('", ok')).alias("Note"), c("Amount").cast("string").alias("Amount"))
+    out = m["PaymentTransactions"].select("Id", "Source", "PaymentType", F.concat(F.lit('say "'), "Status", F.lit('",\nok\n\n"')).alias("Note"), c("Amount").cast("string").alias("Amount"))
     sn.write_csv(out, path)
-    return sn.read_csv(m.spark, path, "Id string, Source string, PaymentType string, Note string, Amount string")
+    # Small splits, so that files are cut inside fields at any scale.
+    return sn.read_csv(m.spark, path, "Id string, Source string, PaymentType string, Note string, Amount string", split_bytes=1 << 18)
 
 
 # --- projections, filters -------------------------------------------------------------------------
