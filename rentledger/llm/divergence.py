@@ -26,23 +26,42 @@ TOP = 10
 FIRST = 4
 # Bits of the bitmap of remaining prefixes: 4 MB, whatever the input.
 BITS = 1 << 25
-# Bytes of text whose counts a task holds before it hands them on.
-HELD = 1 << 23
+# Terms that a task counts at a time; terms that it remembers from one part to the next, and their bytes.
+HELD = 1 << 20
+TERMS, TERM_BYTES = 300_000, 1 << 24
 # Bytes of a long text that are split at a time.
 SLICE = 1 << 20
 UNIT = 1_000_000_000
 _PLAIN = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
 
-def terms(text: str) -> Iterator[list[bytes]]:
-    """The terms of a text in UTF-8, a slice at a time: runs of ASCII letters, lower-cased, and of characters beyond ASCII."""
-    data = text.encode().translate(_PLAIN)
-    start = 0
+class Terms(dict):
+    """Numbers of terms in the order they are met, and for the level at hand their prefixes and which of them may go on."""
+
+    def __init__(self):
+        super().__init__()
+        self.names: list[bytes] = []
+        self.bytes = 0
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = number = len(self.names)
+        self.names.append(term)
+        self.bytes += len(term)
+        return number
+
+
+def numbers(text: str, known: Terms):
+    """The terms of a text as numbers: runs of ASCII letters, lower-cased, and of characters beyond ASCII. Long texts are split a slice at a time."""
+    import numpy as np
+
+    data, start, parts = text.encode().translate(_PLAIN), 0, []
     while start < len(data):
         end = data.find(b" ", start + SLICE) if len(data) - start > SLICE else -1
         end = len(data) if end < 0 else end
-        yield data[start:end].split()
+        found = data[start:end].split()
+        parts.append(np.fromiter(map(known.__getitem__, found), np.int64, len(found)))
         start = end
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
 def read(docs: DataFrame) -> DataFrame:
@@ -54,60 +73,82 @@ def level_counts(rows: DataFrame, length: int, below: int = 0, remaining: bytes
     """``lang, source, term, open, docs, n``: documents of open prefixes of ``length`` bytes, and documents and occurrences of shorter terms.
 
     Only what is at least ``below`` bytes long counts, and only if its prefix of that length may be among the remaining ones. Open prefixes are
-    counted over all sources. Tasks hand on counts of bounded parts of the text, so a key comes several times.
+    counted over all sources. Tasks count parts of about ``held`` terms at a time, so a key comes several times.
     """
     schema = "lang string, source string, term binary, open boolean, docs long, n long"
 
     def run(batches) -> Iterator:
-        from collections import Counter, defaultdict
-
+        import numpy as np
         import pyarrow as pa
         from xxhash import xxh64_intdigest
 
-        closed, documents, prefixes, size = defaultdict(Counter), defaultdict(Counter), defaultdict(Counter), 0
+        known, waiting, size = Terms(), {}, 0
+        names = ["lang", "source", "term", "open", "docs", "n"]
         kinds = [pa.string(), pa.string(), pa.binary(), pa.bool_(), pa.int64(), pa.int64()]
 
-        def batch_of(columns: list[list]):
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "source", "term", "open", "docs", "n"])
-
-        def counted() -> Iterator:
-            for counts, open_ in ((documents, False), (prefixes, True)):
-                for key, found in counts.items():
-                    lang, source = (key, None) if open_ else key
-                    seed = xxh64_intdigest(lang, 42)
-                    for term, n in found.items():
-                        if remaining is not None:
-                            bit = xxh64_intdigest(term[:below], seed) % BITS
-                            if not remaining[bit >> 3] >> (bit & 7) & 1:
-                                continue
-                        yield lang, source, term, open_, n, 0 if open_ else closed[key][term]
+        def live(lang: str, ids):
+            """The distinct numbers that belong to this level: long enough, and their prefix may remain."""
+            seed, found = xxh64_intdigest(lang, 42), []
+            for i in np.unique(ids).tolist():
+                term = known.names[i]
+                if len(term) < below:
+                    continue
+                if remaining is not None:
+                    bit = xxh64_intdigest(term[:below], seed) % BITS
+                    if not remaining[bit >> 3] >> (bit & 7) & 1:
+                        continue
+                found.append(i)
+            return found
+
+        def counted(lang: str, sources: list[str], parts: list) -> Iterator:
+            ids = np.concatenate(parts)
+            doc = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+            labels = sorted(set(sources))
+            source = np.array([labels.index(x) for x in sources], np.int64) if len(labels) < 100 else np.unique(sources, return_inverse=True)[1]
+            closed, place, prefixes = np.zeros(len(known.names), bool), np.full(len(known.names), -1, np.int64), Terms()
+            for i in live(lang, ids):
+                term = known.names[i]
+                closed[i] = len(term) < length
+                if len(term) >= length:
+                    place[i] = prefixes[term[:length]]
+            here = closed[ids]
+            if here.any():
+                own, at, wide = ids[here], doc[here], len(known.names)
+                keys, n = np.unique(source[at] * wide + own, return_counts=True)
+                pairs = np.unique(at * wide + own)
+                same, docs = np.unique(source[pairs // wide] * wide + pairs % wide, return_counts=True)
+                yield [labels[k] for k in (same // wide).tolist()], [known.names[k] for k in (same % wide).tolist()], False, docs, n
+            at = place[ids]
+            here = at >= 0
+            if here.any():
+                wide = len(prefixes.names)
+                pairs = np.unique(doc[here] * wide + at[here])
+                yield [None] * wide, prefixes.names, True, np.bincount(pairs % wide, minlength=wide), np.zeros(wide, np.int64)
 
         def hand_on() -> Iterator:
-            columns: list[list] = [[] for _ in kinds]
-            for row in counted():
-                for column, value in zip(columns, row):
-                    column.append(value)
-                if len(columns[0]) == 50_000:
-                    yield batch_of(columns)
-                    columns = [[] for _ in kinds]
-            yield batch_of(columns)
-            for counts in (closed, documents, prefixes):
-                counts.clear()
+            for lang, (sources, parts) in waiting.items():
+                for found, found_terms, open_, docs, n in counted(lang, sources, parts):
+                    for k in range(0, len(found), 50_000):
+                        cut = slice(k, k + 50_000)
+                        many = len(found[cut])
+                        columns = [[lang] * many, found[cut], found_terms[cut], [open_] * many, docs[cut].astype(np.int64), n[cut].astype(np.int64)]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+            waiting.clear()
+            if len(known) > TERMS or known.bytes > TERM_BYTES:
+                known.clear()
+                known.__init__()
 
         for whole in batches:
             for batch in text_batches(whole):
                 for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                    size += len(text)
-                    own: set[bytes] = set()
-                    for found in terms(text):
-                        short = [t for t in found if below <= len(t) < length]
-                        closed[lang, source].update(short)
-                        own.update(short, [t[:length] for t in found if len(t) >= length])
-                    documents[lang, source].update([t for t in own if len(t) < length])
-                    prefixes[lang].update([t for t in own if len(t) == length])
-                if size >= held:
-                    yield from hand_on()
-                    size = 0
+                    ids = numbers(text, known)
+                    size += len(ids)
+                    sources, parts = waiting.setdefault(lang, ([], []))
+                    sources.append(source)
+                    parts.append(ids)
+                    if size >= held:
+                        yield from hand_on()
+                        size = 0
         yield from hand_on()
 
     return rows.mapInArrow(run, schema)
@@ -153,6 +194,67 @@ def gap(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
+def shared_terms(shares: DataFrame) -> DataFrame:
+    """``lang, source, item, shared``: per pair of sources, source before item, sums over the terms of both of what their gaps differ from those against a lack.
+
+    ``shares`` has ``lang, term, source, p, lacking``, one row for each. All sources of a term come together, so tasks read them in order and sum up the
+    pairs that are 1, 2, ... rows apart; a pair of sources comes once for each part that a task reads.
+    """
+
+    def run(batches) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        def gaps(p, q):
+            return (p - q) * (p - q) // (p + q)
+
+        def sums(rows):
+            langs, terms, sources = (rows.column(k).dictionary_encode() for k in range(3))
+            group = langs.indices.to_numpy().astype(np.int64) * len(terms.dictionary) + terms.indices.to_numpy()
+            lang, source = (x.indices.to_numpy().astype(np.int64) for x in (langs, sources))
+            p, p0 = (rows.column(k).to_numpy() for k in (3, 4))
+            wide, keys, values = len(sources.dictionary), [], []
+            for d in range(1, rows.num_rows):
+                i = np.flatnonzero(group[d:] == group[:-d])
+                if not len(i):
+                    break
+                j = i + d
+                values.append(gaps(p[i], p[j]) - gaps(p[i], p0[j]) - gaps(p0[i], p[j]) + gaps(p0[i], p0[j]))
+                keys.append((lang[i] * wide + source[i]) * wide + source[j])
+                if sum(map(len, keys)) > HELD:
+                    yield made(np.concatenate(keys), np.concatenate(values), langs.dictionary, sources.dictionary)
+                    keys, values = [], []
+            if keys:
+                yield made(np.concatenate(keys), np.concatenate(values), langs.dictionary, sources.dictionary)
+
+        def made(keys, values, langs, sources):
+            order = np.argsort(keys, kind="stable")
+            keys, values = keys[order], values[order]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            total, keys, wide = np.add.reduceat(values, first), keys[first], len(sources)
+            columns = [langs.take(pa.array(keys // (wide * wide))), sources.take(pa.array(keys // wide % wide)), sources.take(pa.array(keys % wide))]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(total)], names=["lang", "source", "item", "shared"])
+
+        # The rows of the last term wait for the next batch, which may go on with it.
+        waiting = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch] if waiting is None else [waiting, batch]).combine_chunks().to_batches()[0]
+            last = (table.column(0)[-1].as_py(), table.column(1)[-1].as_py())
+            cut = table.num_rows - 1
+            while cut > 0 and (table.column(0)[cut - 1].as_py(), table.column(1)[cut - 1].as_py()) == last:
+                cut -= 1
+            if cut:
+                yield from sums(table.slice(0, cut))
+            waiting = table.slice(cut)
+        if waiting is not None:
+            yield from sums(waiting)
+
+    rows = shares.select("lang", "term", "source", "p", "lacking").repartition("lang", "term").sortWithinPartitions("lang", "term", "source")
+    return rows.mapInArrow(run, "lang string, source string, item string, shared long")
+
+
 def divergence(docs: DataFrame, scratch: Scratch, threshold: int = THRESHOLD, top: int = TOP, **rules) -> DataFrame:
     """``lang, source, part, item, value, rank`` of every (lang, source) group of ``docs``.
 
@@ -185,12 +287,7 @@ def divergence(docs: DataFrame, scratch: Scratch, threshold: int = THRESHOLD, to
     alone = steps.join(sides, "lang").where("source <> item").groupBy("lang", "source", "item")
     alone = scratch.save(alone.agg(F.sum(F.col("times") * gap(F.col("p"), F.col("other"))).alias("alone")), "alone")
     # What that misses for the terms of both.
-    left = shares.select("lang", "term", "source", "p", "lacking")
-    right = shares.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("lacking").alias("other"))
-    both = left.join(right, ["lang", "term"]).where("source < item")
-    p, q, p0, q0 = (F.col(c) for c in ("p", "q", "lacking", "other"))
-    both = both.groupBy("lang", "source", "item").agg(F.sum(gap(p, q) - gap(p, q0) - gap(p0, q) + gap(p0, q0)).alias("shared"))
-    both = scratch.save(both, "shared")
+    both = scratch.save(shared_terms(shares).groupBy("lang", "source", "item").agg(F.sum("shared").alias("shared")), "shared")
     both = both.unionAll(both.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "shared"))
     pairs = groups.select("lang", "source", "terms", "own", "lacking").join(sides, "lang").where("source <> item")
     back = alone.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), F.col("alone").alias("back"))

@@ -144,7 +144,8 @@ def test_refinement_by_any_steps(spark, folder, monkeypatch):
     want = sorted(map(tuple, divergence.common_terms(rows, Scratch(spark, "t")).collect()))
     brute, seen = Counter(), Counter()
     for r in rows.collect():
-        words = [w.decode() for part in divergence.terms(r.text) for w in part]
+        known = divergence.Terms()
+        words = [known.names[i].decode() for i in divergence.numbers(r.text, known).tolist()]
         brute.update((r.lang, r.source, w) for w in words)
         seen.update((r.lang, w) for w in set(words))
     assert want == sorted((*k, n) for k, n in brute.items() if seen[k[0], k[2]] >= 10) and len(want) > 50
