@@ -33,7 +33,7 @@ COUNTERS, PARTITIONS = 1 << 20, (64, 1 << 16)
 # Bits of the Bloom filter (8 MB, whatever the input) and bits of each key.
 BITS, HASHES = 1 << 26, 3
 # Words that a task remembers between windows, and their bytes.
-WORDS, WORD_BYTES = 1_000_000, 1 << 26
+WORDS, WORD_BYTES = 300_000, 1 << 24
 _BREAK = b"\n"
 _PLAIN = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x0A if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9 else b for b in range(256))
 
