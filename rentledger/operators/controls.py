@@ -3,23 +3,23 @@
 An attribute is stored as value -> option -> control. Products and locations hold attributes, single
 items may override them: an item with own rows in a scope takes nothing from its product or location.
 
-The pivots are taken where the attributes are stored, one row per product, location, order or overriding
-item. Items meet the finished columns in one join; item rows are never multiplied by attribute rows.
+Attributes are merged where they are stored, to one column of entries per product, location, order or overriding item. These
+columns travel with the rows; item rows are never multiplied by attribute rows. Names become columns once, at the end, and
+are read from what has been written by then.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clean_name
 from .aggregates import joined_values
 from .filters import exported, live, scope
-from .joins import enrich, within, without
+from .joins import within, without
 from .projection import quoted
 from .sets import stack, stack_all
 
@@ -52,27 +52,14 @@ def override(item_rows: DataFrame, inherited_rows: DataFrame, key: str) -> DataF
     return stack(item_rows, without(inherited_rows, item_rows.select(key), [key]))
 
 
-def control_names(attrs: dict[str, DataFrame]) -> dict[str, list[str]]:
-    """Sorted names that occur in the attribute rows of each scope, read in one job.
-
-    A scope has at most one name per control definition.
-    """
-    if not attrs:
-        return {}
-    rows = [df.filter(F.col(NAME).isNotNull()).select(F.lit(s).alias("scope"), NAME).distinct() for s, df in attrs.items()]
-    found: dict[str, list[str]] = {s: [] for s in attrs}
-    for scope_name, name in sorted(tuple(r) for r in stack_all(rows).collect()):
-        found[scope_name].append(name)
-    return found
-
-
 def pivot_controls(attrs: DataFrame, key: str, names: list[str] | None = None, sep: str = ", ") -> DataFrame:
     """One row per key, one column per control, several values merged to one sorted list.
 
     Without attribute rows the result holds only the key.
     """
     if names is None:
-        names = control_names({key: attrs})[key]
+        found = attrs.select(F.lit("all").alias("scope"), NAME).where(F.col(NAME).isNotNull()).distinct()
+        names = listed(found).get("all", [])
     if not names:
         return attrs.select(key).distinct().limit(0)
     counted = attrs.groupBy(key, NAME, VALUE).agg(F.count(F.lit(1)).alias("n"))
@@ -90,28 +77,110 @@ def _column(name: str, sep: str) -> Column:
 def apart(pivoted: DataFrame) -> DataFrame:
     """The same rows, no longer placed by their key, so that a join shuffles both of its sides.
 
-    Spark splits a hot key only where both sides come from shuffles made for the join. The pivoted side has one row per
+    Spark splits a hot key only where both sides come from shuffles made for the join. This side has one row per
     key; moving it once more is cheap against the lines.
     """
     return pivoted.hint("rebalance")
 
 
-@dataclass(frozen=True)
-class ScopedControls:
-    """Attributes of one scope, not yet spread to items.
+def _merged(rows: Column, sep: str) -> Column:
+    """Sorted entries ``(name, value)`` from an array of ``(name, value, n)``; the values of a name become one sorted list.
+
+    An array of entries can be compared and grouped, which a map can't. Names without a value stay, with NULL.
+    """
+    names = F.array_sort(F.array_distinct(F.transform(F.filter(rows, lambda x: x["name"].isNotNull()), lambda x: x["name"])))
+
+    def entry(name: Column) -> Column:
+        mine = F.filter(rows, lambda x: (x["name"] == name) & x["value"].isNotNull())
+        pairs = F.transform(mine, lambda x: F.struct(x["value"].alias("value"), x["n"].alias("n")))
+        return F.struct(name.alias("name"), joined_values(pairs, sep).alias("value"))
+
+    return F.transform(names, entry)
+
+
+def attribute_map(attrs: DataFrame, key: str, out: str, sep: str = ", ") -> DataFrame:
+    """One row per key: ``key`` and ``out``, its attributes as entries of name and merged value."""
+    counted = attrs.groupBy(key, NAME, VALUE).agg(F.count(F.lit(1)).alias("n"))
+    bundled = counted.groupBy(key).agg(F.collect_list(F.struct(F.col(NAME).alias("name"), F.col(VALUE).alias("value"), "n")).alias("_all"))
+    return bundled.select(key, _merged(F.col("_all"), sep).alias(out))
+
+
+def override_maps(overrides: DataFrame, options: dict[str, tuple[int, DataFrame]], sep: str = ", ") -> DataFrame:
+    """One row per overriding item: ``order_item_id`` and, per scope, ``_own_<scope>``, NULL where the item has no rows in that scope.
+
+    The overrides are read once for all scopes; ``options`` has the type code and the exported options of each.
+    """
+    known = stack_all([df.withColumn("DynamicControlType", F.lit(code)) for code, df in options.values()])
+    rows = overrides.select(F.col("OrderItemId").alias("order_item_id"), "DynamicControlType", "DynamicControlOptionId")
+    counted = rows.join(known, ["DynamicControlType", "DynamicControlOptionId"]).groupBy("order_item_id", "DynamicControlType", NAME, VALUE)
+    entry = F.struct(F.col("DynamicControlType").alias("type"), F.col(NAME).alias("name"), F.col(VALUE).alias("value"), "n")
+    bundled = counted.agg(F.count(F.lit(1)).alias("n")).groupBy("order_item_id").agg(F.collect_list(entry).alias("_all"))
+
+    def one_scope(code: int) -> Column:
+        mine = F.filter("_all", lambda x: x["type"] == code)
+        return F.when(F.size(mine) > 0, _merged(mine, sep))
+
+    return bundled.select("order_item_id", *[one_scope(code).alias(f"_own_{s}") for s, (code, _) in options.items()])
+
+
+def with_map(dimension: DataFrame, pk: str, maps: DataFrame, key: str) -> DataFrame:
+    """Dimension with the attributes of each row beside it; attributes of unknown rows stay, so that no line loses them."""
+    joined = dimension.join(maps, quoted(pk) == F.col(key), "full_outer")
+    return apart(joined.withColumn(pk, F.coalesce(quoted(pk), F.col(key))).drop(key))
+
 
-    ``own`` has attribute rows keyed by ``order_item_id``, ``inherited`` keyed by ``entity``
-    (``product_id`` or ``location_id``), ``names`` the columns both pivot to.
+def map_names(maps: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``scope, control_name``: distinct names in the attribute columns, given per scope."""
+
+    def names_of(scope_name: str, column: str) -> DataFrame:
+        # Many lines have equal names, so these are made distinct before they are taken apart.
+        found = maps.select(F.transform(column, lambda x: x["name"]).alias("_all")).distinct()
+        return found.select(F.lit(scope_name).alias("scope"), F.explode("_all").alias(NAME)).distinct()
+
+    return stack_all([names_of(s, c) for s, c in columns.items()])
+
+
+def listed(names: DataFrame) -> dict[str, list[str]]:
+    """Sorted names of each scope; there is at most one for each control definition and scope."""
+    found: dict[str, list[str]] = {}
+    for scope_name, name in sorted(tuple(r) for r in names.collect()):
+        found.setdefault(scope_name, []).append(name)
+    return found
+
+
+def expand_maps(report: DataFrame, columns: dict[str, str], names: dict[str, list[str]]) -> DataFrame:
+    """Report with one column per name in place of the attribute columns; scopes follow each other in the order of ``columns``."""
+    plain = [c for c in report.columns if c not in columns.values()]
+    labels = unique_names({s: names.get(s, []) for s in columns}, plain)
+    maps = {c: F.map_from_entries(F.col(c)) for s, c in columns.items() if labels[s]}
+    picked = [F.element_at(F.col(c), F.lit(n)).alias(labels[s][n]) for s, c in columns.items() for n in labels[s]]
+    return report.withColumns(maps).select(*map(quoted, plain), *picked) if maps else report.select(*map(quoted, plain))
+
+
+def entities_in_use(items: DataFrame, own: DataFrame, entity: str) -> DataFrame:
+    """Products or locations that at least one item without own rows belongs to, by counting.
+
+    Items per entity less overriding items per entity, both combined on the map side: of the items only the overriding ones are matched by id.
     """
+    every = items.groupBy(entity).agg(F.count(F.lit(1)).alias("n"))
+    mine = within(items.select("order_item_id", entity), own.select("order_item_id").distinct(), ["order_item_id"])
+    taken = mine.groupBy(F.col(entity).alias("_taken")).agg(F.count(F.lit(1)).alias("_n"))
+    left = every.join(taken, F.col(entity) == F.col("_taken"), "left").where(F.col("n") > F.coalesce("_n", F.lit(0)))
+    return left.select(entity)
+
 
-    own: DataFrame
-    inherited: DataFrame
-    entity: str
-    names: list[str]
+def scope_names(items: DataFrame, own: DataFrame, inherited: DataFrame, entity: str) -> DataFrame:
+    """``control_name``: distinct names of a scope that reach an item, without any action."""
+    used = within(inherited, entities_in_use(items, own, entity), [entity])
+    names = own.select(NAME).unionAll(used.select(NAME))
+    return names.where(F.col(NAME).isNotNull()).distinct()
 
-    def pivots(self) -> tuple[DataFrame, DataFrame]:
-        own, inherited = pivot_controls(self.own, "order_item_id", self.names), pivot_controls(self.inherited, self.entity, self.names)
-        return apart(own), apart(inherited)
+
+def numbered_names(names: dict[str, DataFrame]) -> DataFrame:
+    """``scope, position, control_name``: the names of all scopes with their ordinal, as a lazy query."""
+    rows = stack_all([df.select(F.lit(s).alias("scope"), NAME) for s, df in names.items()])
+    place = F.row_number().over(Window.partitionBy("scope").orderBy(NAME))
+    return rows.select("scope", place.alias("position"), NAME)
 
 
 def scoped_rows(
@@ -133,19 +202,6 @@ def scoped_rows(
     return own, resolve(kept, options, controls, entity_key, entity)
 
 
-def inherited_in_use(items: DataFrame, own: DataFrame, inherited: DataFrame, entity: str) -> DataFrame:
-    """Inherited rows that reach at least one item without own rows."""
-    heirs = without(items.select("order_item_id", entity), own.select("order_item_id").distinct(), ["order_item_id"])
-    return within(inherited, heirs.select(entity).distinct(), [entity])
-
-
-def pivot_by_item(items: DataFrame, scoped: ScopedControls) -> DataFrame:
-    """Pivot of one scope per item that has any attribute."""
-    own, inherited = scoped.pivots()
-    heirs = without(items.select("order_item_id", scoped.entity), scoped.own.select("order_item_id"), ["order_item_id"])
-    return stack(own, heirs.join(inherited, scoped.entity).drop(scoped.entity))
-
-
 def unique_names(scopes: dict[str, list[str]], taken: list[str]) -> dict[str, dict[str, str]]:
     """Output name per scope and control: the control name, with its scope only where names collide.
 
@@ -158,41 +214,6 @@ def unique_names(scopes: dict[str, list[str]], taken: list[str]) -> dict[str, di
     }
 
 
-def widen(
-    report: DataFrame,
-    order_attrs: DataFrame | None,
-    order_names: list[str],
-    scopes: dict[str, ScopedControls],
-    *,
-    order_key: str = "order_id_original",
-    item_key: str = "order_item_id",
-) -> DataFrame:
-    """Report plus one column per order, product and location control.
-
-    Order columns join by order. A scope joins twice, once by item for own rows and once by product or
-    location; an item with own rows takes all its columns from there.
-    """
-    names = unique_names({"order": order_names, **{s: c.names for s, c in scopes.items()}}, report.columns)
-    out = report
-    if order_attrs is not None and order_names:
-        pivoted = apart(pivot_controls(order_attrs, "order_id", order_names))
-        out = enrich(out, pivoted, order_key, "order_id", {names["order"][n]: quoted(n) for n in order_names})
-    for scope_name, scoped in scopes.items():
-        if not scoped.names:
-            continue
-        own, inherited = scoped.pivots()
-        own_cols = {f"_own_{i}": quoted(n) for i, n in enumerate(scoped.names)}
-        out = enrich(out, own, item_key, "order_item_id", {"_has_own": F.lit(True), **own_cols})
-        inh_cols = {f"_inh_{i}": quoted(n) for i, n in enumerate(scoped.names)}
-        out = enrich(out, inherited, scoped.entity, scoped.entity, inh_cols)
-        picked = {
-            names[scope_name][n]: F.when(F.col("_has_own"), F.col(f"_own_{i}")).otherwise(F.col(f"_inh_{i}"))
-            for i, n in enumerate(scoped.names)
-        }
-        out = out.withColumns(picked).drop("_has_own", *own_cols, *inh_cols)
-    return out
-
-
 def cleaned_names(attrs: DataFrame) -> DataFrame:
     """Attribute rows with control names freed of double quotes."""
     return attrs.withColumn(NAME, clean_name(F.col(NAME)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .projection import quoted
@@ -16,7 +16,12 @@ def drop_alacarte_roots(df: DataFrame, parent: str, flag: str) -> DataFrame:
 
     A row with neither parent nor flag is dropped as well: the predicate is NULL there.
     """
-    return df.filter(~(quoted(parent).isNull() & (quoted(flag) == F.lit(True))))
+    return df.filter(no_alacarte_root(parent, flag))
+
+
+def no_alacarte_root(parent: str, flag: str) -> Column:
+    """TRUE for rows that stay, FALSE or NULL for the others."""
+    return ~(quoted(parent).isNull() & (quoted(flag) == F.lit(True)))
 
 
 def positive(df: DataFrame, col: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import as_long
-from .filters import drop_alacarte_roots
+from .filters import drop_alacarte_roots, no_alacarte_root
 from .projection import quoted
 
 
@@ -34,9 +34,13 @@ def base_lines(orders: DataFrame, reservations: DataFrame, items: DataFrame) ->
     return coded.join(items, "order_id", "left")
 
 
-def lines_from_items(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Items of known orders, without a-la-carte roots."""
-    kept = drop_alacarte_roots(items, "parent_order_item_id", "is_a_la_carte")
+def lines_from_items(items: DataFrame, orders: DataFrame, flag: str | None = None) -> DataFrame:
+    """Items of known orders, without a-la-carte roots; with ``flag`` these stay, marked FALSE in that column."""
+    rule = ("parent_order_item_id", "is_a_la_carte")
+    if flag is not None:
+        kept = items.withColumn(flag, F.coalesce(no_alacarte_root(*rule), F.lit(False)))
+    else:
+        kept = drop_alacarte_roots(items, *rule)
     return kept.join(orders, "order_id", "inner")
 
 

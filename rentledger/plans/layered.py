@@ -19,7 +19,7 @@ from ..functions.formulas import (
 )
 from ..functions.scalar import default, first_non_null, full_name
 from ..operators.aggregates import coupon_codes
-from ..operators.joins import base_lines, enrich, join_raw
+from ..operators.joins import base_lines, enrich, join_agg, join_raw
 from ..operators.projection import label, rename_project
 
 # Model names of the clean layer.
@@ -257,16 +257,21 @@ def refund_report(tables: dict[str, DataFrame], fan_out: bool = False) -> DataFr
     return label(rows, list(REFUND_LABELS))
 
 
-def payments_view(tables: dict[str, DataFrame]) -> DataFrame:
-    """Payment, location and site of every item; not stored."""
+def payments_view(tables: dict[str, DataFrame], repeat_refunds: bool = False) -> DataFrame:
+    """Payment, location and site of every item; not stored. One row per item and payment of its order.
+
+    ``refund_count`` says how many refunds the payment has. The first view joined the refunds and so repeated a row for each of them
+    without showing which; ``repeat_refunds`` does that, from the count alone, and leaves the count out.
+    """
     clean = clean_layer(tables)
     locations = as_doubles(tables["Locations"])
-    paid = join_raw(clean["PaymentTransactions"], clean["PaymentRefund"].select("payment_id"), "payment_id")
+    counts = tables["PaymentRefund"].groupBy(F.col("PaymentTransactionId").alias("payment_id")).agg(F.count(F.lit(1)).alias("refund_count"))
+    paid = join_agg(clean["PaymentTransactions"], counts, "payment_id", {"refund_count": F.lit(0)})
     out = clean["Orders"].drop("payment_transaction_id").join(clean["OrderItems"], "order_id", "left")
     out = out.join(paid.withColumnRenamed("payment_id", "payment_transaction_id"), "order_id", "left")
     out = enrich(out, locations, "location_id", "Id", {"location_name": "Name", "tax_rate": "TaxRate"})
     out = enrich(out, locations, "site_id", "Id", {"site_name": "Name", "site_tax_rate": "TaxRate"})
-    return out.select(
+    view = out.select(
         "order_id",
         "order_item_id",
         "payment_transaction_id",
@@ -282,4 +287,9 @@ def payments_view(tables: dict[str, DataFrame]) -> DataFrame:
         "tax_rate",
         "site_name",
         "site_tax_rate",
+        "refund_count",
     )
+    if not repeat_refunds:
+        return view
+    times = F.greatest(F.coalesce("refund_count", F.lit(1)), F.lit(1)).cast("int")
+    return view.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy", "refund_count")

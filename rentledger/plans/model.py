@@ -6,16 +6,19 @@ every table that has one.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import decimal_amounts
 from ..functions.scalar import full_name
 from ..operators.aggregates import coupon_codes, payment_refunds
-from ..operators.controls import ScopedControls, cleaned_names, control_names, inherited_in_use, resolve, scoped_rows
-from ..operators.filters import LOCATION_SCOPE, PRODUCT_SCOPE
+from ..operators.controls import apart, attribute_map, cleaned_names, expand_maps, exported_options, listed, map_names, override_maps, resolve, scope_names, scoped_rows, with_map
+from ..operators.filters import LOCATION_SCOPE, PRODUCT_SCOPE, live
 from ..operators.joins import attach_payment, enrich, join_agg
 from ..operators.projection import rename_project
+from ..sources.snapshot import checkpoint_stage
 
 Tables = dict[str, DataFrame]
 
@@ -66,17 +69,80 @@ def model(tables: Tables, name: str, mapping: dict[str, str]) -> DataFrame:
     return decimal_amounts(rename_project(tables[name], mapping))
 
 
-def items_of(tables: Tables) -> DataFrame:
-    return model(tables, "OrderItems", ITEM_COLUMNS)
+# Tables that hang on an order, in the order in which the restriction reaches them: key, table it refers to, key there.
+REFERENCES = {
+    "OrderItems": ("OrderId", "Orders", "Id"),
+    "OrderHistory": ("OrderId", "Orders", "Id"),
+    "OrderCoupons": ("OrderId", "Orders", "Id"),
+    "OrderItemsHistory": ("OrderId", "Orders", "Id"),
+    "OrderDynamicControlValues": ("OrderId", "Orders", "Id"),
+    "Reservations": ("Id", "Orders", "ReservationId"),
+    "Users": ("Id", "Orders", "CreatedBy"),
+    "PaymentTransactions": ("Id", "Orders", "PaymentTransactionId"),
+    "PaymentRefund": ("PaymentTransactionId", "PaymentTransactions", "Id"),
+    "OrderItemDynamicControls": ("OrderItemId", "OrderItems", "Id"),
+}
+
+
+class Restricted(dict):
+    """Tables of some orders only, each restricted when it is asked for."""
+
+    def __init__(self, tables: Tables, orders: DataFrame, references: dict[str, tuple[str, str, str]]):
+        super().__init__({"Orders": orders})
+        self.tables, self.references = tables, references
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in self.references:
+            return self.tables[name]
+        key, table, there = self.references[name]
+        wanted = self[table].select(F.col(there).alias(key)).where(F.col(key).isNotNull())
+        self[name] = self.tables[name].join(wanted, key, "left_semi")
+        return self[name]
+
+
+def restricted(tables: Tables, ids: DataFrame, id_col: str = "order_number", payment_link: str = "id", stage: str | None = None) -> Tables:
+    """Tables for a report of the listed order numbers only; listing a number twice changes nothing.
+
+    The numbers meet the orders first. The orders found are written, so that Spark knows how few they are: every other table
+    is semi-joined to them, by a broadcast or behind a Bloom filter on its scan, before anything of it is shuffled. ``payment_link``
+    as in the reports.
+    """
+    wanted = ids.select(F.col(id_col).cast("bigint").alias("OrderNumber"))
+    orders = checkpoint_stage(tables["Orders"].join(wanted, "OrderNumber", "left_semi").select(*tables["Orders"].columns), stage, "orders")
+    references = dict(REFERENCES)
+    if payment_link == "order":
+        references["PaymentTransactions"] = ("OrderId", "Orders", "Id")
+    return Restricted(tables, orders, references)
+
+
+@dataclass(frozen=True)
+class Attributes:
+    """User-defined attributes as columns of entries: by order, by overriding item, and by product and location."""
+
+    order: DataFrame
+    own: DataFrame
+    inherited: dict[str, DataFrame]
+
+
+# Attribute columns of lines, per scope, in the order in which reports show them.
+ATTRIBUTE_COLUMNS = {"order": "_attrs_order", "product": "_attrs_product", "location": "_attrs_location"}
+
 
+def items_of(tables: Tables, attrs: Attributes | None = None) -> DataFrame:
+    """Items; with ``attrs`` what single items override stands beside them (joined by item, like coupons and refunds)."""
+    items = model(tables, "OrderItems", ITEM_COLUMNS)
+    return items if attrs is None else items.join(apart(attrs.own), "order_item_id", "left")
 
-def order_header(tables: Tables, *, link: str = "id", round_refund_sums: bool = False) -> DataFrame:
+
+def order_header(tables: Tables, *, link: str = "id", round_refund_sums: bool = False, attrs: Attributes | None = None) -> DataFrame:
     """Orders with reservation, payment, refund sums and user: everything known per order.
 
     Joined at order level, before the much larger items come in. With ``link="order"`` an order has one
     row per payment.
     """
     orders = model(tables, "Orders", ORDER_COLUMNS)
+    if attrs is not None:
+        orders = join_agg(orders, attrs.order, "order_id")
     refunds = payment_refunds(decimal_amounts(tables["PaymentRefund"]), round_to_cents=round_refund_sums)
     payments = model(tables, "PaymentTransactions", PAYMENT_COLUMNS)
     payments = payments.withColumnRenamed("payment_id", "payment_transaction_id")
@@ -92,17 +158,35 @@ def order_header(tables: Tables, *, link: str = "id", round_refund_sums: bool =
     return header.withColumn("user_name", F.coalesce("user_name", F.lit(" "))).drop("payment_transaction_id")
 
 
-def with_dimensions(lines: DataFrame, tables: Tables, rental_type: bool = False) -> DataFrame:
-    """Product, location, site, partner and tax rate of each line; the locations play two roles."""
+def with_dimensions(lines: DataFrame, tables: Tables, rental_type: bool = False, attrs: Attributes | None = None) -> DataFrame:
+    """Product, location, site, partner and tax rate of each line; the locations play two roles.
+
+    With ``attrs`` products and locations bring their attributes along; a line whose item overrides a scope takes all of it from there.
+    """
     locations = decimal_amounts(tables["Locations"], ["TaxRate"])
-    out = enrich(lines, tables["Products"], "product_id", "Id", {"product_name": "Name"})
-    out = enrich(out, locations, "location_id", "Id", {"location_name": "Name", "_location_tax": "TaxRate"})
+    products, places = tables["Products"], locations
+    with_product, with_location = {}, {}
+    if attrs is not None:
+        products = with_map(products, "Id", attrs.inherited["product"], "product_id")
+        places = with_map(places, "Id", attrs.inherited["location"], "location_id")
+        with_product, with_location = {"_inh_product": "_inh_product"}, {"_inh_location": "_inh_location"}
+    out = enrich(lines, products, "product_id", "Id", {"product_name": "Name", **with_product})
+    out = enrich(out, places, "location_id", "Id", {"location_name": "Name", "_location_tax": "TaxRate", **with_location})
     out = enrich(out, locations, "site_id", "Id", {"site_name": "Name", "_site_tax": "TaxRate"})
     out = enrich(out, tables["Partners"], "partner_id", "Id", {"partner_name": "Name"})
     if rental_type:
         out = enrich(out, tables["RentalTypes"], "rental_type_id", "Id", {"rental_type": "Name"})
     tax: Column = F.coalesce("_site_tax", "_location_tax")
-    return out.withColumn("tax_percentage", tax).drop("_site_tax", "_location_tax")
+    out = out.withColumn("tax_percentage", tax).drop("_site_tax", "_location_tax")
+    return out if attrs is None else resolved(out)
+
+
+def resolved(lines: DataFrame) -> DataFrame:
+    """Lines with one attribute column per scope in place of the own and the inherited one."""
+    for scope in SCOPES:
+        own, inherited = f"_own_{scope}", f"_inh_{scope}"
+        lines = lines.withColumn(ATTRIBUTE_COLUMNS[scope], F.coalesce(own, inherited)).drop(own, inherited)
+    return lines
 
 
 def coupons_of(tables: Tables) -> DataFrame:
@@ -140,31 +224,70 @@ def scope_rows(tables: Tables, scope: str, live_only: bool = True) -> tuple[Data
     )
 
 
-def scoped_controls(
-    tables: Tables, scope: str, names: list[str] | None = None, live_only: bool = True
-) -> ScopedControls:
-    """Attributes of one scope with their column names; ``names`` skips the pass that finds them."""
-    given = None if names is None else {scope: names}
-    return _scopes(tables, [scope], given or {}, live_only)[0][scope]
-
-
-def dynamic_columns(
-    tables: Tables, live_only: bool = True, given: dict[str, list[str]] | None = None
-) -> tuple[DataFrame, list[str], dict[str, ScopedControls]]:
-    """``(order attributes, their names, scopes)``; all names that aren't given are read in one job."""
-    attrs = order_attributes(tables)
-    scopes, order_names = _scopes(tables, list(SCOPES), given or {}, live_only, attrs)
-    return attrs, order_names, scopes
-
-
-def _scopes(
-    tables: Tables, wanted: list[str], given: dict[str, list[str]], live_only: bool, order_attrs: DataFrame | None = None
-) -> tuple[dict[str, ScopedControls], list[str]]:
-    rows = {s: scope_rows(tables, s, live_only) for s in wanted}
-    unknown = {"order": order_attrs} if order_attrs is not None and "order" not in given else {}
-    for s, (own, inherited) in rows.items():
-        if s not in given:
-            used = inherited_in_use(items_of(tables), own, inherited, SCOPES[s]["entity"])
-            unknown[s] = own.select("control_name").union(used.select("control_name"))
-    names = control_names(unknown) | given
-    return {s: ScopedControls(*rows[s], SCOPES[s]["entity"], names[s]) for s in wanted}, names.get("order", [])
+def attributes(tables: Tables, live_only: bool = True) -> Attributes:
+    """All attributes as columns of entries. The overrides are read once, whatever the number of scopes."""
+    options, inherited = {}, {}
+    for scope, rule in SCOPES.items():
+        prefix = scope.capitalize()
+        known = exported_options(tables[f"{prefix}DynamicControlOptions"], tables[f"{prefix}DynamicControls"])
+        options[scope] = (rule["type_code"], known)
+        values = tables[f"{prefix}DynamicControlValues"]
+        values = (live(values) if live_only else values).select(F.col(rule["entity_key"]).alias(rule["entity"]), "DynamicControlOptionId")
+        inherited[scope] = attribute_map(values.join(known, "DynamicControlOptionId"), rule["entity"], f"_inh_{scope}")
+    own = override_maps(tables["OrderItemDynamicControls"], options)
+    return Attributes(attribute_map(order_attributes(tables), "order_id", ATTRIBUTE_COLUMNS["order"]), own, inherited)
+
+
+def item_attributes(tables: Tables, scopes: list[str] | None = None, live_only: bool = True) -> DataFrame:
+    """``order_item_id, order_id`` and the attribute column of each scope, for all items."""
+    attrs = attributes(tables, live_only)
+    out = items_of(tables, attrs).select("order_item_id", "order_id", "product_id", "location_id", *[f"_own_{s}" for s in SCOPES])
+    for scope, rule in SCOPES.items():
+        out = out.join(apart(attrs.inherited[scope]), rule["entity"], "left")
+    out = resolved(out).drop("product_id", "location_id")
+    if scopes is None:
+        return join_agg(out, attrs.order, "order_id")
+    return out.select("order_item_id", "order_id", *[ATTRIBUTE_COLUMNS[s] for s in scopes])
+
+
+def widened(
+    lines: DataFrame,
+    tables: Tables,
+    given: dict[str, list[str]] | None = None,
+    stage: str | None = None,
+    columns: dict[str, str] | None = None,
+    shown: str | None = None,
+) -> DataFrame:
+    """``lines`` with a column per attribute name in place of the attribute columns.
+
+    The lines are written once, to ``stage`` or below ``spark.checkpoint.dir``, and the names are read from there; ``given`` lists them per scope
+    instead, and nothing runs then. Names of orders come from their attributes, as an order without lines counts as well. Only
+    lines with the flag ``shown`` stay, but all count for the names.
+    """
+    columns = columns or ATTRIBUTE_COLUMNS
+    names = given
+    if given is None:
+        lines = checkpoint_stage(lines, stage, "attributes")
+        found = map_names(lines, {s: c for s, c in columns.items() if s != "order"})
+        if "order" in columns:
+            found = found.unionAll(order_attributes(tables).select(F.lit("order").alias("scope"), "control_name").where("control_name IS NOT NULL").distinct())
+        names = listed(found)
+    if shown is not None:
+        lines = lines.where(F.col(shown)).drop(shown)
+    return expand_maps(lines, columns, names)
+
+
+def pivot_by_item(tables: Tables, scope: str, names: list[str] | None = None, stage: str | None = None, live_only: bool = True) -> DataFrame:
+    """One row per item that has any attribute of the scope, one column per name."""
+    column = ATTRIBUTE_COLUMNS[scope]
+    maps = item_attributes(tables, [scope], live_only).drop("order_id").where(F.col(column).isNotNull())
+    return widened(maps, tables, None if names is None else {scope: names}, stage, {scope: column})
+
+
+def names_in_use(tables: Tables, live_only: bool = True) -> dict[str, DataFrame]:
+    """``control_name`` per scope of all names that an order or item has, as lazy frames."""
+    found = {"order": order_attributes(tables).select("control_name").where("control_name IS NOT NULL").distinct()}
+    for scope, rule in SCOPES.items():
+        own, inherited = scope_rows(tables, scope, live_only)
+        found[scope] = scope_names(items_of(tables), own, inherited, rule["entity"])
+    return found

@@ -23,18 +23,20 @@ from ..functions.money import money, money_from_double, ratio, zero
 from ..functions.scalar import actual_amount, blank, flag_text, mask_user, partner_text, refunded_flag, text
 from ..functions.timefmt import DAY_FIRST, MONTH_FIRST, double_shift, local_date
 from ..operators.aggregates import event_order
-from ..operators.controls import widen
 from ..operators.filters import positive
 from ..operators.joins import join_agg, lines_from_items
 from ..operators.projection import blank_nulls, label, move_column
 from .layered import clamped_order_report, order_total_report
 from .model import (
+    ATTRIBUTE_COLUMNS,
+    Attributes,
     Tables,
+    attributes,
     coupons_of,
-    dynamic_columns,
     items_of,
     model,
     order_header,
+    widened,
     with_dimensions,
 )
 
@@ -145,12 +147,16 @@ def refund_summary(tables: Tables, refunded: str) -> DataFrame:
     )
 
 
-def order_lines(tables: Tables, rules: OrderRules) -> DataFrame:
+# Lines that the report shows; a-la-carte roots are carried along for the names of their attributes only.
+SHOWN = "_shown"
+
+
+def order_lines(tables: Tables, rules: OrderRules, attrs: Attributes | None = None) -> DataFrame:
     """Report lines in model names; dimensions come last, so the large joins carry ids only."""
-    items = join_agg(items_of(tables), refund_summary(tables, rules.refunded), "order_item_id")
+    items = join_agg(items_of(tables, attrs), refund_summary(tables, rules.refunded), "order_item_id")
     items = join_agg(items, coupons_of(tables), "order_item_id")
-    header = order_header(tables, link=rules.payment_link, round_refund_sums=rules.round_refund_sums)
-    return with_dimensions(lines_from_items(items, header), tables)
+    header = order_header(tables, link=rules.payment_link, round_refund_sums=rules.round_refund_sums, attrs=attrs)
+    return with_dimensions(lines_from_items(items, header, SHOWN if attrs else None), tables, attrs=attrs)
 
 
 def _report_steps(rules: OrderRules) -> list[dict[str, Column]]:
@@ -209,13 +215,9 @@ def _report_steps(rules: OrderRules) -> list[dict[str, Column]]:
     return [shown, fees, totals]
 
 
-# Keys that stay on the lines until the dynamic columns are joined.
-_KEYS = {"order_id": "order_id_original", "order_item_id": "order_item_id", "product_id": "product_id", "location_id": "location_id"}
-
-
-def _labelled(tables: Tables, rules: OrderRules) -> DataFrame:
-    """Labelled report with the join keys of the dynamic columns behind it."""
-    lines = order_lines(tables, rules)
+def _labelled(tables: Tables, rules: OrderRules, attrs: Attributes | None = None) -> DataFrame:
+    """Labelled report; with ``attrs`` the attribute columns and the flag of shown lines stand behind it."""
+    lines = order_lines(tables, rules, attrs)
     for step in _report_steps(rules):
         lines = lines.withColumns(step)
     pairs: list[tuple[str | Column, str]] = []
@@ -223,7 +225,9 @@ def _labelled(tables: Tables, rules: OrderRules) -> DataFrame:
         keep_type = name == "total_collected" and not rules.collected_as_text
         shown = shown if rules.capital_id else STATIC_LABELS.get(shown, shown)
         pairs.append((F.col(name) if keep_type else blank(text(F.col(name))), shown))
-    return label(lines, [*pairs, *[(F.col(k), v) for k, v in _KEYS.items()]])
+    if attrs is None:
+        return label(lines, [*pairs, (F.col("order_id"), "order_id_original")])
+    return label(lines, [*pairs, *[(F.col(c), c) for c in (*ATTRIBUTE_COLUMNS.values(), SHOWN)]])
 
 
 def order_report(
@@ -231,13 +235,14 @@ def order_report(
     variant: str = "current",
     dynamic: bool = False,
     control_columns: dict[str, list[str]] | None = None,
+    stage: str | None = None,
     **rules,
 ) -> DataFrame:
     """Order report; see the module text for ``variant`` and ``OrderRules`` for ``rules``.
 
-    ``dynamic`` adds one column per exported control and makes every column text. The column names are
-    read from the data first, in one job, unless ``control_columns`` lists them per scope:
-    ``order``, ``product``, ``location``.
+    ``dynamic`` adds one column per exported control and makes every column text. The report is written once, to ``stage``
+    or below ``spark.checkpoint.dir``, and the names of these columns are read from what was written, unless
+    ``control_columns`` lists them per scope: ``order``, ``product``, ``location``.
     """
     if variant in ("order_total", "clamped") and (dynamic or control_columns or rules):
         raise TypeError(f"the {variant} report has no dynamic columns and takes no rules")
@@ -246,17 +251,8 @@ def order_report(
     if variant == "clamped":
         return clamped_order_report(tables)
     chosen = replace(RULES[variant], **rules)
-    report = _labelled(tables, chosen)
     if not dynamic:
-        return report.drop("order_item_id", "product_id", "location_id")
-    wide = add_controls(report, tables, chosen.live_only, control_columns)
+        return _labelled(tables, chosen)
+    report = _labelled(tables, chosen, attributes(tables, chosen.live_only))
+    wide = widened(report, tables, control_columns, stage, shown=SHOWN)
     return blank_nulls(move_column(wide, TAX_COUNTIES, TAX_COUNTIES_ORDINAL))
-
-
-def add_controls(
-    report: DataFrame, tables: Tables, live_only: bool, control_columns: dict[str, list[str]] | None = None
-) -> DataFrame:
-    """Join the dynamic columns of all three scopes and drop the helper keys."""
-    attrs, order_names, scopes = dynamic_columns(tables, live_only, control_columns)
-    wide = widen(report, attrs, order_names, scopes)
-    return wide.drop(*_KEYS.values())

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 from ..functions.money import decimal_amounts
 from ..operators.projection import quoted
 from .quoted import SPLIT_BYTES, read_quoted
+from .versions import write_versioned
 
 
 def snapshot(df: DataFrame, cols: list[str] | None = None, exact_money: bool = False) -> DataFrame:
@@ -28,8 +31,12 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
 
 
 def stage_root(spark: SparkSession) -> str | None:
-    """Shared folder for intermediate data, as the cluster names it."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+    """Shared folder for intermediate data, as the cluster names it. A local session without one gets a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None and re.match(r"local(\[|$)", spark.sparkContext.master):
+        root = "file://" + tempfile.mkdtemp(prefix="stage-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root
 
 
 def checkpoint_stage(df: DataFrame, path: str | None = None, name: str = "stage") -> DataFrame:
@@ -47,9 +54,13 @@ def checkpoint_stage(df: DataFrame, path: str | None = None, name: str = "stage"
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "parquet", order_by: list[str] | None = None) -> None:
-    """Write a report; ``order_by`` sorts it over all files."""
-    write_table(df.orderBy(*map(quoted, order_by)) if order_by else df, path, fmt=fmt)
+def write_report(df: DataFrame, path: str, fmt: str = "parquet", order_by: list[str] | None = None, versioned: bool = False) -> None:
+    """Write a report; ``order_by`` sorts it over all files. ``versioned`` keeps the old report until the new one is complete (``versions.py``)."""
+    ordered = df.orderBy(*map(quoted, order_by)) if order_by else df
+    if versioned:
+        write_versioned(ordered, path)
+    else:
+        write_table(ordered, path, fmt=fmt)
 
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "nullValue": "NULL"}

@@ -109,16 +109,47 @@ def test_override_hides_all_inherited_rows(spark):
     assert sets(co.override(own, inherited, "order_item_id")) == [("i1", "A", "own"), ("i2", "B", "kept")]
 
 
-def test_widen_takes_item_rows_over_product_rows(spark):
-    report = spark.createDataFrame([("o1", "i1", "p1"), ("o1", "i2", "p1"), ("o2", "i3", "p2")], "order_id_original string, order_item_id string, product_id string")
-    own = attrs(spark, [("i1", "Size", "XL")], "order_item_id")
-    inherited = attrs(spark, [("p1", "Size", "M"), ("p1", "Kind", "bike")], "product_id")
-    scoped = co.ScopedControls(own, inherited, "product_id", ["Kind", "Size"])
-    out = co.widen(report, attrs(spark, [("o1", "Size", "o")]), ["Size"], {"product": scoped})
-    assert out.columns[3:] == ["Size (order)", "Kind", "Size (product)"]
-    assert sets(out.drop("order_id_original", "product_id")) == [("i1", "o", None, "XL"), ("i2", "o", "bike", "M"), ("i3", None, None, None)]
-    items = report.withColumnRenamed("order_id_original", "order_id")
-    assert sets(co.pivot_by_item(items, scoped)) == [("i1", None, "XL"), ("i2", "bike", "M")]
+def as_dicts(df, key, column):
+    return {r[key]: None if r[column] is None else {e["name"]: e["value"] for e in r[column]} for r in df.collect()}
+
+
+def test_attribute_entries_merge_values_and_keep_names_without_any(spark):
+    rows = [("1", "a, b", "y"), ("1", "a, b", "x"), ("1", "a, b", "x"), ("1", "50 %", None), ("2", None, "lost"), ("3", "it's", "z")]
+    maps = co.attribute_map(attrs(spark, rows), "order_id", "m")
+    assert as_dicts(maps, "order_id", "m") == {"1": {"50 %": None, "a, b": "x, x, y"}, "2": {}, "3": {"it's": "z"}}
+    assert co.listed(co.map_names(maps, {"order": "m"})) == {"order": ["50 %", "a, b", "it's"]}
+    out = co.expand_maps(maps, {"order": "m"}, {"order": ["50 %", "a, b", "no such"]})
+    assert out.columns == ["order_id", "50 %", "a, b", "no such"]
+    assert sets(out) == [("1", None, "x, x, y", None), ("2", None, None, None), ("3", None, None, None)]
+    assert co.expand_maps(maps, {"order": "m"}, {}).columns == ["order_id"]
+
+
+def test_overrides_of_all_scopes_in_one_read(spark):
+    option = "DynamicControlOptionId string, control_name string, control_value string"
+    product = spark.createDataFrame([("p1", "Size", "XL"), ("p2", "Size", None), ("p3", "Kind", "bike")], option)
+    place = spark.createDataFrame([("l1", "Zone", "A"), ("p1", "Zone", "B")], option)
+    rows = [("i1", "p1", 0), ("i1", "p1", 1), ("i1", "p3", 0), ("i1", "p3", 0), ("i2", "l1", 1), ("i3", "p2", 0), ("i4", "gone", 0)]
+    overrides = spark.createDataFrame(rows, "OrderItemId string, DynamicControlOptionId string, DynamicControlType int")
+    own = co.override_maps(overrides, {"product": (0, product), "location": (1, place)})
+    assert as_dicts(own, "order_item_id", "_own_product") == {"i1": {"Size": "XL", "Kind": "bike, bike"}, "i2": None, "i3": {"Size": None}}
+    assert as_dicts(own, "order_item_id", "_own_location") == {"i1": {"Zone": "B"}, "i2": {"Zone": "A"}, "i3": None}
+
+
+def test_attributes_of_unknown_products_reach_their_lines(spark):
+    products = spark.createDataFrame([("p1", "One"), ("p2", "Two")], "Id string, Name string")
+    maps = co.attribute_map(attrs(spark, [("p1", "A", "1"), ("p9", "A", "9")], "product_id"), "product_id", "m")
+    lines = spark.createDataFrame([("p1",), ("p2",), ("p9",), (None,)], "product_id string")
+    out = jo.enrich(lines, co.with_map(products, "Id", maps, "product_id"), "product_id", "Id", {"name": "Name", "m": "m"})
+    assert as_dicts(out, "product_id", "m") == {"p1": {"A": "1"}, "p2": None, "p9": {"A": "9"}, None: None}
+
+
+def test_entities_in_use_by_counting(spark):
+    items = spark.createDataFrame([("i1", "p1"), ("i2", "p1"), ("i3", "p2"), ("i4", None)], "order_item_id string, product_id string")
+    own = spark.createDataFrame([("i1",), ("i3",), ("i3",), ("ix",)], "order_item_id string")
+    assert sets(co.entities_in_use(items, own, "product_id").where("product_id IS NOT NULL")) == [("p1",)]
+    names = co.scope_names(items, attrs(spark, [("i1", "Own", "x"), ("i3", None, "x")], "order_item_id"), attrs(spark, [("p1", "A", "1"), ("p2", "B", "2")], "product_id"), "product_id")
+    assert sets(names) == [("A",), ("Own",)]
+    assert sets(co.numbered_names({"product": names, "order": names.limit(0)})) == [("product", 1, "A"), ("product", 2, "Own")]
 
 
 def test_column_helpers(spark):
@@ -156,13 +187,6 @@ def test_rules_that_do_not_apply_are_errors():
         transaction_report({}, refunded="sum")
 
 
-def test_names_of_all_scopes_in_one_job(spark):
-    a = spark.createDataFrame([("x",), ("b",), ("x",), (None,)], "control_name string")
-    b = spark.createDataFrame([], "control_name string")
-    assert co.control_names({"order": a, "product": b}) == {"order": ["b", "x"], "product": []}
-    assert co.control_names({}) == {}
-
-
 def test_history_can_be_reduced_to_the_latest_row(spark):
     orders = spark.createDataFrame([("o1",), ("o2",)], "order_id string")
     rows = [("h1", "o1", ts("2024-01-01")), ("h2", "o1", ts("2024-02-01")), ("h3", "o1", ts("2024-02-01"))]

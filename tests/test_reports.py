@@ -6,10 +6,12 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from rentledger.operators.controls import numbered_names
 from rentledger.plans import order_report, order_total_report, payments_view, refund_report, transaction_report
 from rentledger.plans.transaction_report import LABELS
+from rentledger.plans.model import REFERENCES, names_in_use, restricted
 from rentledger.sources.schema import SNAPSHOT_COLUMNS
-from rentledger.sources.snapshot import snapshot
+from rentledger.sources.snapshot import snapshot, write_table
 from workload.model_sql import MODEL, ModelTables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -65,8 +67,7 @@ def test_every_variant_runs_on_snapshots_of_double_money(m):
     for name, columns in SNAPSHOT_COLUMNS.items():
         df = m[name]
         doubles = [F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes]
-        missing = [F.lit(None).cast("timestamp").alias(c) for c in columns if c not in df.columns]
-        tables[name] = snapshot(df.select(*doubles, *missing), columns, exact_money=True)
+        tables[name] = snapshot(df.select(*doubles), columns, exact_money=True)
     assert set(tables) < set(MODEL)
     for variant in ("current", "staged", "static", "order_total", "clamped"):
         assert order_report(tables, variant).count() == order_report(m, variant).count() > 0
@@ -103,6 +104,72 @@ def test_control_columns_can_be_given(m):
     assert len(out.columns) == 36
 
 
+def test_names_are_read_from_the_written_report(m, tmp_path, monkeypatch):
+    """Names that only an unshown root or an order without lines has are columns too; nothing but the attribute tables runs before the report."""
+    stage = str(tmp_path / "s")
+    out = order_report(m, dynamic=True, stage=stage)
+    written = m.spark.read.parquet(stage)
+    assert {"_attrs_order", "_attrs_product", "_attrs_location", "_shown"} <= set(written.columns)
+    assert written.where("NOT _shown").count() > 0 and out.count() == written.where("_shown").count() == order_report(m).count()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    found = {s: [r.control_name for r in df.orderBy("control_name").collect()] for s, df in names_in_use(m).items()}
+    same = order_report(m, dynamic=True, control_columns=found)
+    assert same.columns == out.columns and same.exceptAll(out).count() == 0
+
+
+def test_overrides_are_read_once(m):
+    lines = plan_of(order_report(m, dynamic=True, control_columns={"product": ["Size Class"], "location": ["Tax Counties"], "order": []}))
+    once = plan_of(m["OrderItemDynamicControls"])
+    assert lines.count("PX-ECONOMY") == once.count("PX-ECONOMY") > 0
+
+
+def test_lazy_names(m, spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-names", "no action")
+    frame = numbered_names(names_in_use(m))
+    assert not tracker.getJobIdsForGroup("lazy-names")
+    assert frame.count() > 4 and tracker.getJobIdsForGroup("lazy-names")
+
+
+@pytest.mark.parametrize("variant", ["static", "staged"])
+def test_staged_transactions_read_the_items_once(m, variant, tmp_path, conf):
+    conf("spark.sql.exchange.reuse", "false")
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.debug.maxToStringFields", "200")
+    tables = dict(m) | {n: m[n] for n in SNAPSHOT_COLUMNS}
+    write_table(m["OrderItems"], str(tmp_path / "only_items"))
+    tables["OrderItems"] = m.spark.read.parquet(str(tmp_path / "only_items"))
+    plan = plan_of(transaction_report(tables, variant))
+    assert sum("FileScan parquet" in line and "ParentOrderItemId" in line for line in plan.splitlines()) == 1
+
+
+def test_report_of_some_orders(m, spark, tmp_path):
+    """Restricted tables hold what hangs on the orders only, and the report is that part of the whole one."""
+    wanted = [500000000000 + k for k in (1, 7, 32, 33, 34, 35, 39, 999_999_999)]
+    ids = spark.createDataFrame([(i,) for i in [*wanted, 500000000007]], "order_number long")
+    few = restricted(m, ids)
+    orders = {r.Id for r in few["Orders"].collect()}
+    assert 0 < len(orders) < 8
+    for name, (key, _, _) in REFERENCES.items():
+        whole = m[name]
+        assert few[name].count() < whole.count() and few[name].columns[0] == key
+    assert {r.OrderId for r in few["OrderItems"].collect()} <= orders
+    numbers = [str(i) for i in wanted]
+    for build in (order_report, transaction_report):
+        part, whole = build(few), build(m).where(F.col("Order Id" if "Order Id" in build(m).columns else "Order ID").isin(numbers))
+        assert part.count() > 0 and part.exceptAll(whole).count() == 0 and whole.exceptAll(part).count() == 0
+    by_order = order_report(restricted(m, ids, payment_link="order"), payment_link="order")
+    assert by_order.exceptAll(order_report(m, payment_link="order")).count() == 0 and by_order.count() > 0
+
+
+def test_payments_view_counts_refunds(m):
+    plain, repeated = payments_view(m), payments_view(m, repeat_refunds=True)
+    assert plain.columns == [*repeated.columns, "refund_count"]
+    assert plain.groupBy("order_id", "order_item_id", "payment_transaction_id").count().where("count > 1").count() == 0
+    assert repeated.count() == plain.selectExpr("sum(greatest(coalesce(refund_count, 1), 1))").first()[0] > plain.count()
+
+
 def test_transaction_rows(spark, m):
     rows = transaction_report(m)
     kinds = {r["Transaction Type"]: r["n"] for r in rows.groupBy("Transaction Type").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -37,32 +37,49 @@ def test_rank_of_a_hot_item(hot):
     assert {r.id: r.rn for r in ranked.collect()} == want
 
 
-def test_hot_item_is_ranked_in_slices(hot):
-    _, df = hot
-    plan = wi.rank_events(df, ["k"], "t", "id")._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window [row_number()" in line]
-    assert windows and all("_slice" in line for line in windows)
+def test_hot_item_is_ranked_in_several_tasks_and_read_once(spark, conf, hot, tmp_path):
+    rows, df = hot
+    conf("spark.sql.shuffle.partitions", "16")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    ranked = wi.rank_events(df.mapInArrow(seen, df.schema), ["k"], "t", "id", stage=str(tmp_path))
+    assert len({r.rn for r in ranked.where("k = 'hot'").collect()}) == N / 3 and reads.value == N
+    parts = Counter(r._part for r in spark.read.parquet(f"{tmp_path}/ranks").where("k = 'hot'").collect())
+    assert len(parts) > 3 and max(parts.values()) < N / 3 / 2
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan and "SortMergeJoin" not in plan
 
 
 @pytest.mark.parametrize("when", ["2024-05-05 10:00:00", None])
-def test_hot_item_with_all_events_in_one_second(spark, hot, when):
+def test_hot_item_with_all_events_in_one_second(spark, conf, hot, when):
     rows, df = hot
+    conf("spark.sql.shuffle.partitions", "16")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
     ids = defaultdict(list)
     for k, i, *_ in rows:
         ids[k].append(i)
     same = df.withColumn("k", F.nullif("k", F.lit("k1"))).withColumn("t", F.lit(when).cast("timestamp"))
-    ranked = wi.rank_events(same, ["k"], "t", "id", slices=64)
+    ranked = wi.rank_events(same, ["k"], "t", "id")
     assert {r.id: r.rn for r in ranked.collect()} == {i: n for group in ids.values() for n, i in enumerate(sorted(group), 1)}
-    cuts = wi._slices(same, ["k"], F.struct(F.col("t").isNull(), "t", "id"), 64)
-    assert {r.k: len(r["_cuts"]) for r in cuts.collect()}["hot"] > 12
 
 
-def test_ranks_of_equal_rows_and_of_no_rows(spark):
+def test_ranks_of_equal_rows_of_several_keys_and_of_no_rows(spark, conf):
+    conf("spark.sql.shuffle.partitions", "5")
     df = spark.createDataFrame([("a", 1, 1)] * 5 + [("a", None, None)] * 2 + [(None, 2, None)], "k string, t int, id int")
-    ranked = wi.rank_events(df, ["k"], "t", "id", slices=4).collect()
+    ranked = wi.rank_events(df, ["k"], "t", "id").collect()
     assert sorted(r.rn for r in ranked if r.k) == [1, 2, 3, 4, 5, 6, 7]
     assert sorted(r.rn for r in ranked if r.k and r.t is None) == [6, 7] and [r.rn for r in ranked if not r.k] == [1]
     assert wi.rank_events(df.limit(0), ["k"], "t", "id").count() == 0
+    pairs = spark.range(300).selectExpr("id % 2 AS a", "if(id % 3 = 0, null, 'x') AS b", "id div 7 AS t", "id")
+    got = Counter((r.a, r.b, r.rn) for r in wi.rank_events(pairs, ["a", "b"], "t", "id").collect())
+    assert got == Counter({(a, b, n): 1 for a in (0, 1) for b, many in ((None, 50), ("x", 100)) for n in range(1, many + 1)})
 
 
 def test_sum_beside_each_row(hot):
@@ -106,14 +123,13 @@ def test_hot_entity_of_a_pivot_is_split(spark, conf, hot, entity):
     small_partitions(conf)
     keys = sorted({k for k, *_ in hot[0]})
     attrs = spark.createDataFrame([(k, n, f"{n}-{k}") for k in keys for n in ("A", "B")], f"{entity} string, control_name string, control_value string")
-    own = spark.createDataFrame([(5, "A", "mine")], "order_item_id int, control_name string, control_value string")
-    scoped = co.ScopedControls(own, attrs, entity, ["A", "B"])
+    named = spark.createDataFrame([(k, "n-" + k) for k in keys], "Id string, Name string")
     facts = df.select(F.col("id").alias("order_item_id"), F.col("k").alias(entity)).repartition(8, "order_item_id")
-    out = co.widen(facts, None, [], {"any": scoped})
+    out = jo.enrich(facts, co.with_map(named, "Id", co.attribute_map(attrs, entity, "m"), entity), entity, "Id", {"name": "Name", "m": "m"})
     rows = out.collect()
     assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
     assert len(rows) == N
-    assert all((r.A, r.B) == ((f"A-{r[entity]}", f"B-{r[entity]}") if r.order_item_id != 5 else ("mine", None)) for r in rows)
+    assert all((r.name, [tuple(e) for e in r.m]) == (f"n-{r[entity]}", [("A", f"A-{r[entity]}"), ("B", f"B-{r[entity]}")]) for r in rows)
 
 
 def test_unpaid_orders_are_spread(spark, conf):

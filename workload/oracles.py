@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from rentledger.sources.schema import SNAPSHOT_COLUMNS
+
 from .model_sql import MODEL, with_model
 
 MONEY = "decimal(20,2)"
@@ -554,14 +556,31 @@ SELECT ReservationCode AS "RID", OrderNumber AS "OrderId", order_item_id AS "Lin
   paid - order_refund - coalesce(rfee, 0.0::double) AS "TotalCollected",
   partner_name AS "PartnerName", PartnerId AS "PartnerId"
 FROM lines"""
-PAYMENTS_VIEW = f"""SELECT o.Id AS order_id, oi.Id AS order_item_id, pt.Id AS payment_transaction_id, {dbl('pt.Amount')} AS paid_amount,
+_VIEW = f"""o.Id AS order_id, oi.Id AS order_item_id, pt.Id AS payment_transaction_id, {dbl('pt.Amount')} AS paid_amount,
   {dbl('pt.ProcessingFee')} AS processing_fee, {dbl('o.Total')} AS total, {dbl('oi.SalesTax')} AS sales_tax, {dbl('o.BookingFee')} AS booking_fee,
   {dbl('o.DeliveryFee')} AS delivery_fee, pt.PaymentType AS payment_type, pt.PaymentProviderName AS payment_provider_name,
-  l.Name AS location_name, {dbl('l.TaxRate')} AS tax_rate, site.Name AS site_name, {dbl('site.TaxRate')} AS site_tax_rate
-FROM m_Orders o LEFT JOIN m_OrderItems oi ON oi.OrderId = o.Id
-LEFT JOIN m_PaymentTransactions pt ON pt.OrderId = o.Id
-LEFT JOIN m_PaymentRefund pr ON pr.PaymentTransactionId = pt.Id
+  l.Name AS location_name, {dbl('l.TaxRate')} AS tax_rate, site.Name AS site_name, {dbl('site.TaxRate')} AS site_tax_rate"""
+_VIEW_FROM = """FROM m_Orders o LEFT JOIN m_OrderItems oi ON oi.OrderId = o.Id LEFT JOIN m_PaymentTransactions pt ON pt.OrderId = o.Id
 LEFT JOIN m_Locations l ON l.Id = oi.LocationId LEFT JOIN m_Locations site ON site.Id = oi.SiteId"""
+PAYMENTS_VIEW = f"""SELECT {_VIEW}, CASE WHEN pt.Id IS NOT NULL THEN (SELECT count(*) FROM m_PaymentRefund pr WHERE pr.PaymentTransactionId = pt.Id) END AS refund_count
+{_VIEW_FROM}"""
+PAYMENTS_VIEW_REPEATED = f"SELECT {_VIEW} {_VIEW_FROM} LEFT JOIN m_PaymentRefund pr ON pr.PaymentTransactionId = pt.Id"
+
+
+def staged_counts(table: str) -> str:
+    """Counts of a staged table by kind of column."""
+    columns = SNAPSHOT_COLUMNS[table]
+    kind = {**dict.fromkeys(("CreatedOn", "ModifiedOn", "StartDate", "EndDate"), "time"), **dict.fromkeys(("IsALaCarte", "IsRefunded", "ShowInExport", "IsDeleted"), "flag")}
+    kind |= dict.fromkeys(("OrderNumber", "RefundOrderNumber", "RefundedQuantity", "DynamicControlType", "PartnerId"), "")
+    kind |= dict.fromkeys(columns if table == "Partners" else (), "") | ({"Name": "text", "CreatedOn": "time", "ModifiedOn": "time"} if table == "Partners" else {})
+    amounts = ("Fee", "Total", "Discount", "Tip", "Tax", "Amount", "TaxRate")
+    found = {c: kind.get(c, "money" if c.endswith(amounts) else "text") for c in columns}
+
+    def values(k: str) -> str:
+        return " + ".join([f"count({c})" for c in columns if found[c] == k]) or "0"
+
+    sums = ", ".join(f"cast({values(k)} as bigint) AS {k}_values" for k in ("money", "time", "text", "flag"))
+    return f"SELECT '{table}' AS table_name, count(*) AS n_rows, count(*) - count({columns[0]}) AS null_keys, {sums} FROM m_{table}"
 
 
 def layered_formula(*exprs: str) -> str:
@@ -587,7 +606,7 @@ SQL = {
         for p in ("Order", "Product", "Location")
     ),
     "materialize_stage": f"SELECT LocationId AS location_id, count(*) AS n_items, cast(sum(TotalAmount) as {MONEY}) AS amount FROM m_OrderItems oi WHERE {NO_ROOTS} GROUP BY LocationId",
-    "overwrite_idempotent": "SELECT * FROM m_Reservations",
+    "overwrite_idempotent": "SELECT Id, ReservationCode FROM m_Reservations",
     "named_view": f"SELECT order_id, order_item_id, payment_transaction_id, paid_amount, location_name, site_name FROM ({PAYMENTS_VIEW}) v",
     "literal_table": f"SELECT OrderNumber AS order_number, OrderNumber IN (SELECT order_number FROM {LISTED} i) AS listed FROM m_Orders",
     "report_sink": f'WITH {ORDER_CURRENT} SELECT "Line Item ID" AS line_item, "Total Collected" AS total_collected, "Order Amount" AS order_amount FROM report',
@@ -724,6 +743,9 @@ SQL = {
     "order_report_clamped": layered_report(True),
     "refund_report": REFUND_REPORT,
     "payments_view": PAYMENTS_VIEW,
+    "payments_view_repeated": PAYMENTS_VIEW_REPEATED,
+    "staging_run": " UNION ALL ".join(map(staged_counts, SNAPSHOT_COLUMNS)),
+    "order_report_from_stage": f"WITH {ORDER_CURRENT} {FINAL}",
     "report_subset": f'WITH {ORDER_CURRENT} SELECT r.* EXCLUDE (item_key) FROM report r JOIN {IDS} i ON i.order_number = try_cast(r."Order Id" as bigint)',
     "check_unique_line_items": f'WITH {ORDER_CURRENT} SELECT count(*) AS n_rows, count(DISTINCT "Line Item ID") AS n_keys FROM report',
     "check_order_coverage": f"""SELECT 'orders' AS stage, count(DISTINCT Id) AS n_keys FROM m_Orders

@@ -26,6 +26,8 @@ from rentledger.plans import layered, model, order_report, payments_view, refund
 from rentledger.sources import catalog as ca
 from rentledger.sources import schema as sch
 from rentledger.sources import snapshot as sn
+from rentledger.sources import staging as st
+from rentledger.sources import versions as ve
 
 from .model_sql import ModelTables
 
@@ -119,10 +121,27 @@ def materialize_stage(m):
 @query
 def overwrite_idempotent(m):
     path = scratch(m)
-    table = m["Reservations"]
-    sn.write_table(table, path)
-    sn.write_table(table, path)
-    return m.spark.read.parquet(path)
+    table = m["Reservations"].drop("CreatedOn", "ModifiedOn")
+    ve.write_versioned(table, path)
+    ve.write_versioned(table, path)
+    return ve.read_versioned(m.spark, path)
+
+
+@query
+def staging_run(m):
+    """All 24 tables from double money into snapshots, with the counts that were observed while writing."""
+    root = scratch(m)
+    doubles = {n: m[n].withColumns({c: F.col(c).cast("double") for c, t in m[n].dtypes if t.startswith("decimal")}) for n in sch.SNAPSHOT_COLUMNS}
+    return st.count_table(m.spark, st.stage_all(doubles, root))
+
+
+@query
+def order_report_from_stage(m):
+    """The order report over staged snapshots of the tables it needs."""
+    root = scratch(m)
+    names = ["Orders", "OrderItems", "OrderItemsHistory", "Reservations", "OrderCoupons", "Coupons", "Products", "Locations", "Users", "Partners", "PaymentTransactions", "PaymentRefund"]
+    st.stage_all(m, root, {n: sch.SNAPSHOT_COLUMNS[n] for n in names})
+    return order_report(st.staged_tables(m.spark, root, names))
 
 
 @query
@@ -142,8 +161,8 @@ def literal_table(m):
 @query
 def report_sink(m):
     path = scratch(m)
-    sn.write_report(order_report(m), path)
-    return pr.label(m.spark.read.parquet(path), [("Line Item ID", "line_item"), ("Total Collected", "total_collected"), ("Order Amount", "order_amount")])
+    sn.write_report(order_report(m), path, versioned=True)
+    return pr.label(ve.read_versioned(m.spark, path), [("Line Item ID", "line_item"), ("Total Collected", "total_collected"), ("Order Amount", "order_amount")])
 
 
 @query
@@ -359,16 +378,9 @@ def join_expected_ids(m):
     return jo.restrict(report, asked_for(m)).withColumnRenamed("Order Id", "order_number")
 
 
-def found_columns(m):
-    """Names read from the data, as the reports do."""
-    return model.dynamic_columns(m)
-
-
 @query
 def join_dynamic_columns(m):
-    attrs, order_names, scopes = found_columns(m)
-    base = items(m).select("order_item_id", "order_id", "product_id", "location_id")
-    return co.widen(base, attrs, order_names, scopes, order_key="order_id").drop("product_id", "location_id")
+    return model.widened(model.item_attributes(m), m, stage=scratch(m))
 
 
 # --- aggregations, windows, sorts, sets -----------------------------------------------------------
@@ -422,10 +434,7 @@ def distinct_rows(m):
 
 @query
 def distinct_controls(m):
-    _, order_names, scopes = found_columns(m)
-    names = {"order": order_names, **{s: x.names for s, x in scopes.items()}}
-    rows = [(s, i + 1, n) for s, found in names.items() for i, n in enumerate(found)]
-    return m.spark.createDataFrame(rows, "scope string, position int, control_name string")
+    return co.numbered_names(model.names_in_use(m))
 
 
 @query
@@ -450,7 +459,7 @@ def window_earliest_event(m):
 
 @query
 def window_rank_all(m):
-    return wi.rank_events(events(m), ["order_item_id"], "event_time", "event_id").select("order_item_id", "event_id", "rn")
+    return wi.rank_events(events(m).drop("amount"), ["order_item_id"], "event_time", "event_id", stage=scratch(m)).select("order_item_id", "event_id", "rn")
 
 
 @query
@@ -670,12 +679,12 @@ def pivot_order_controls(m):
 
 @query
 def pivot_product_controls(m):
-    return co.pivot_by_item(items(m), model.scoped_controls(m, "product"))
+    return model.pivot_by_item(m, "product", stage=scratch(m))
 
 
 @query
 def pivot_location_controls(m):
-    return co.pivot_by_item(items(m), model.scoped_controls(m, "location"))
+    return model.pivot_by_item(m, "location", stage=scratch(m))
 
 
 @query
@@ -688,7 +697,7 @@ def pivot_empty_guard(m):
 
 @query
 def column_reorder(m):
-    wide = co.pivot_by_item(items(m), model.scoped_controls(m, "location")).withColumn("item", c("order_item_id"))
+    wide = model.pivot_by_item(m, "location", stage=scratch(m)).withColumn("item", c("order_item_id"))
     moved = pr.move_column(wide, "Tax Counties", 1)
     return moved.select("order_item_id", "Tax Counties", F.lit(moved.columns.index("Tax Counties") + 1).alias("ordinal"))
 
@@ -701,15 +710,15 @@ def blank_all_nulls(m):
 # --- whole reports --------------------------------------------------------------------------------
 
 QUERIES["order_report"] = lambda m: order_report(m)
-QUERIES["order_report_dynamic"] = lambda m: order_report(m, dynamic=True)
+QUERIES["order_report_dynamic"] = lambda m: order_report(m, dynamic=True, stage=scratch(m))
 QUERIES["transaction_report"] = lambda m: transaction_report(m)
-QUERIES["transaction_report_dynamic"] = lambda m: transaction_report(m, dynamic=True)
+QUERIES["transaction_report_dynamic"] = lambda m: transaction_report(m, dynamic=True, stage=scratch(m))
 QUERIES["order_report_static"] = lambda m: order_report(m, "static")
 QUERIES["order_report_staged"] = lambda m: order_report(m, "staged")
-QUERIES["order_report_staged_dynamic"] = lambda m: order_report(m, "staged", dynamic=True)
+QUERIES["order_report_staged_dynamic"] = lambda m: order_report(m, "staged", dynamic=True, stage=scratch(m))
 QUERIES["transaction_report_static"] = lambda m: transaction_report(m, "static")
 QUERIES["transaction_report_staged"] = lambda m: transaction_report(m, "staged")
-QUERIES["transaction_report_staged_dynamic"] = lambda m: transaction_report(m, "staged", dynamic=True)
+QUERIES["transaction_report_staged_dynamic"] = lambda m: transaction_report(m, "staged", dynamic=True, stage=scratch(m))
 
 
 def plain_times(df: DataFrame) -> DataFrame:
@@ -721,11 +730,12 @@ QUERIES["order_report_order_total"] = lambda m: plain_times(order_report(m, "ord
 QUERIES["order_report_clamped"] = lambda m: plain_times(order_report(m, "clamped"))
 QUERIES["refund_report"] = lambda m: plain_times(refund_report(m))
 QUERIES["payments_view"] = lambda m: payments_view(m)
+QUERIES["payments_view_repeated"] = lambda m: payments_view(m, repeat_refunds=True)
 
 
 @query
 def report_subset(m):
-    return jo.restrict(order_report(m), asked_for(m))
+    return order_report(model.restricted(m, asked_for(m), stage=scratch(m)))
 
 
 # --- checks ---------------------------------------------------------------------------------------
