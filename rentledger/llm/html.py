@@ -1,16 +1,17 @@
 """Main text of web pages by composite text density.
 
-The page becomes a tree of block elements; inline markup belongs to the text around it. What its element, role, class or
-id declares as menu, header, footer, sidebar, notice, advert, form or comment is cut off first. For every remaining node the
+The page becomes a tree of block elements; inline markup belongs to the text around it. For every node the
 density is its characters per tag, lowered by the share of link text in it and on the page. The node with the
 largest sum of its children's densities holds the main text. The least density on the path from there to the body is the
-threshold: other branches that reach it contribute their own largest-sum node. Inside an article element, the whole
-article is taken.
+threshold: other branches that reach it contribute their own largest-sum node; headings go with what they stand before. Densities are those of the whole page. In and
+among the chosen subtrees, what its element, role, class or id declares as menu, header, footer, sidebar, notice, advert, form or
+comment is left out.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from html import unescape
@@ -38,6 +39,9 @@ _DROP = set(
     "head script style noscript template svg math canvas nav footer aside form button select textarea iframe object audio video "
     "dialog menu title".split()
 )
+# Elements whose content isn't text of the page.
+_UNSEEN = set("head script style noscript template svg math canvas select textarea iframe object audio video title xmp noembed noframes".split())
+_BARS_P = ("table", "td", "th", "article", "section", "div")
 _DROP_ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 _DROP_NAMES = set(
     "ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored promo promotion banner sidebar menu nav "
@@ -61,7 +65,7 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "names", "role", "hidden", "parent", "items", "chars", "link_chars", "tags", "links", "density", "sum", "cut")
+    __slots__ = ("tag", "names", "role", "hidden", "parent", "items", "chars", "link_chars", "tags", "links", "density", "sum", "cut", "unseen")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
         self.tag, self.parent, self.items = tag, parent, []
@@ -80,13 +84,24 @@ class Node:
                 else:
                     self.hidden |= name == "hidden" or "display:none" in value.lower().replace(" ", "")
         self.cut = False
+        self.unseen = parent is not None and parent.unseen or tag in _UNSEEN
 
 
 def parse(html: str) -> list[Node]:
     """The block elements in page order; the first is the page. Items of a node: texts, ``(text, in a link)``, and nodes."""
     page = Node("#page", "", None)
     nodes, stack = [page], [page]
+    open_at: dict[str, list[int]] = defaultdict(list)  # where elements of a name stand on the stack
     links = 0  # open links
+
+    def innermost(*tags: str) -> int:
+        return max((open_at[t][-1] for t in tags if open_at[t]), default=0)
+
+    def shut(k: int) -> None:
+        for x in stack[k:]:
+            open_at[x.tag].pop()
+        del stack[k:]
+
     at, n = 0, len(html)
     while at < n:
         lt = html.find("<", at)
@@ -123,24 +138,13 @@ def parse(html: str) -> list[Node]:
         elif tag in _INLINE or (tag in _VOID and tag != "hr"):
             continue
         elif closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if k := innermost(tag):
+                shut(k)
         else:
-            if tag in _CLOSES_P:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == "p":
-                        del stack[k:]
-                        break
-                    if stack[k].tag in ("table", "td", "th", "article", "section", "div"):
-                        break
-            for k in range(len(stack) - 1, 0, -1) if tag in _CLOSED_BY else ():
-                if stack[k].tag in _SCOPE[tag]:
-                    break
-                if stack[k].tag in _CLOSED_BY[tag]:
-                    del stack[k:]
-                    break
+            if tag in _CLOSES_P and (k := innermost("p")) > innermost(*_BARS_P):
+                shut(k)
+            if tag in _CLOSED_BY and (k := innermost(*_CLOSED_BY[tag])) > innermost(*_SCOPE[tag]):
+                shut(k)
             node = Node(tag, attributes, stack[-1])
             stack[-1].items.append(node)
             nodes.append(node)
@@ -151,6 +155,7 @@ def parse(html: str) -> list[Node]:
                 close = html.find(">", stop) if end else -1
                 at = n if close < 0 else close + 1
             elif tag not in _VOID and not (attributes.endswith("/") and tag in ("path", "circle", "rect")):
+                open_at[tag].append(len(stack))
                 stack.append(node)
     return nodes
 
@@ -237,10 +242,17 @@ def _cut_off(nodes: list[Node]) -> None:
             node.cut = header and id(node) not in inside or not _DROP_NAMES.isdisjoint(node.names)
 
 
+def density(chars: int, link_chars: int, tags: int, links: int, share: float) -> float:
+    """Characters per tag, lowered by link text; ``share`` is the part of the page's text that stands in links."""
+    bonus = log(1 + chars / max(1, link_chars) * tags / max(1, links))
+    return chars / tags * bonus / log(e + chars * link_chars / max(1, chars - link_chars) + share * chars)
+
+
 def _densities(nodes: list[Node]) -> None:
+    """Density of every node and the sum over its children; a text is a child of its own."""
     for node in reversed(nodes):
         node.chars, node.link_chars, node.tags, node.links = 0, 0, 1, 0
-        if node.cut:
+        if node.unseen:
             continue
         for item in node.items:
             if type(item) is tuple:
@@ -250,27 +262,22 @@ def _densities(nodes: list[Node]) -> None:
             elif item is True:
                 node.links += 1
                 node.tags += 1
-            elif item is not None and not item.cut:
+            elif item is not None and not item.unseen:
                 node.chars += item.chars
                 node.link_chars += item.link_chars
                 node.tags += item.tags
                 node.links += item.links
     page = nodes[0]
     share = page.link_chars / max(1, page.chars)
-
-    def density(chars: int, link_chars: int, tags: int, links: int) -> float:
-        bonus = log(1 + chars / max(1, link_chars) * tags / max(1, links))
-        return chars / tags * bonus / log(e + chars * link_chars / max(1, chars - link_chars) + share * chars)
-
     for node in nodes:
-        node.density = 0.0 if node.cut else density(node.chars, node.link_chars, node.tags, node.links)
+        node.density = 0.0 if node.unseen else density(node.chars, node.link_chars, node.tags, node.links, share)
     for node in nodes:
         node.sum = 0.0
-        if not node.cut:
+        if not node.unseen:
             for item in node.items:
                 if type(item) is tuple:
                     size = len(" ".join(item[0].split()))
-                    node.sum += density(size, size * item[1], 1, int(item[1]))
+                    node.sum += density(size, size * item[1], 1, int(item[1]), share)
                 elif item is not None and item is not True:
                     node.sum += item.density
 
@@ -293,43 +300,68 @@ def _blocks(top: Node, out: list[str]) -> None:
             end()
         elif type(item) is tuple:
             text.append(item[0])
-        elif item is not True and not item.cut:
+        elif item is not True and not item.cut and not item.unseen:
             end()
             todo.append(None)
             todo.extend(reversed(item.items))
     end()
 
 
-def main_text(html: str) -> str:
-    """The main text of a page: blocks joined by line feeds, white space in a block single; empty if there is none."""
-    nodes = parse(html)
-    _cut_off(nodes)
-    _densities(nodes)
-    live = [x for x in nodes if not x.cut and x.chars]
+def choose(nodes: list[Node]) -> set[int]:
+    """The subtrees that hold the main text: the one with the largest sum, and those of branches that reach the threshold."""
+    live = [x for x in nodes if not x.cut and not x.unseen and x.chars]
     if not live:
-        return ""
+        return set()
     best = max(live, key=lambda x: x.sum)
-    threshold, node, whole = best.density, best, None
+    threshold, node = best.density, best
     while node is not None:
         threshold = min(threshold, node.density)
-        whole = node if node.tag in _WHOLE or node.role == "main" else whole
         node = node.parent
-    chosen = {id(whole or best)}
-    if whole is None:
-        order = {id(x): k for k, x in enumerate(live)}
-        most = {}
-        for x in reversed(live):  # the node with the largest sum in each subtree; of equal ones the outermost
-            top = most.get(id(x), x)
-            top = x if x.sum >= top.sum else top
-            most[id(x)] = top
-            if x.parent is not None:
-                up = most.get(id(x.parent))
-                if up is None or top.sum > up.sum or top.sum == up.sum and order[id(top)] < order[id(up)]:
-                    most[id(x.parent)] = top
-        chosen |= {id(most[id(x)]) for x in live if x.density >= threshold}
+    order = {id(x): k for k, x in enumerate(live)}
+    most: dict[int, Node] = {}
+    for x in reversed(live):  # the node with the largest sum in each subtree; of equal ones the outermost
+        top = most.get(id(x), x)
+        most[id(x)] = top = x if x.sum >= top.sum else top
+        if x.parent is not None:
+            up = most.get(id(x.parent))
+            if up is None or top.sum > up.sum or top.sum == up.sum and order[id(top)] < order[id(up)]:
+                most[id(x.parent)] = top
+    return {id(best)} | {id(most[id(x)]) for x in live if x.density >= threshold}
+
+
+def _headings(nodes: list[Node], chosen: set[int]) -> set[int]:
+    """Headings in front of something chosen, with the element around them if that holds nothing else: too short to be dense, they go with it."""
+    holds, last = set(chosen), {}
+    for x in reversed(nodes):
+        if id(x) in holds and x.parent is not None:
+            holds.add(id(x.parent))
+            last.setdefault(id(x.parent), id(x))
+    found, passed = set(), set()  # parents whose last chosen child has come
+    for x in nodes:
+        if x.tag in _HEADINGS and x.chars and not x.cut and not x.unseen:
+            top = x
+            while top.parent is not None and top.parent.chars == x.chars and not top.parent.cut:
+                top = top.parent
+            up = None if top.parent is None else id(top.parent)
+            if up in last and up not in passed:
+                found.add(id(top))
+        if x.parent is not None and last.get(id(x.parent)) == id(x):
+            passed.add(id(x.parent))
+    return found
+
+
+def main_text(html: str) -> str:
+    """The main text of a page: blocks joined by line feeds, white space in a block single; empty if there is none."""
+    nodes = parse(html)
+    _cut_off(nodes)
+    _densities(nodes)
+    chosen = choose(nodes)
+    chosen |= _headings(nodes, chosen)
     out: list[str] = []
     covered: set[int] = set()
-    for x in live:
+    for x in nodes:
+        if x.cut or x.unseen:
+            continue
         if x.parent is not None and id(x.parent) in covered:
             covered.add(id(x))
         elif id(x) in chosen:

@@ -361,6 +361,95 @@ def test_wrappers_stay_and_comments_go():
     assert html.main_text(f"<div>{BODY}{BODY}</div><form>Mail <p>us</p></form><div hidden>{said}</div>") == f"{body}\n{body}"
 
 
+def test_densities_decide_where_no_name_tells(monkeypatch):
+    """Pages without article element and without telling names: blocks of links and short labels go by their density alone."""
+    links = "<div>" + "".join(f"<div><a href=/{i}>Go to page {i}</a></div>" for i in range(30)) + "</div>"
+    labels = "<div>" + "".join(f"<div><div>{w}</div></div>" for w in "On Off Up Down Left Right".split()) + "</div>"
+    body = " ".join(BODY[3:-4].split())
+    pages = [
+        f"<body>{links}<div>{BODY}{BODY}{BODY}</div></body>",
+        f"<body><div>{BODY * 4}</div>{labels}{links}</body>",
+        f"<table><tr><td>{links}<td><div>{BODY * 3}</div><td>{links}</table>",
+        f"<body>{links}<div><div>{BODY * 2}</div><div>{BODY * 2}</div></div>{links}</body>",
+    ]
+    for page in pages:
+        assert set(html.main_text(page).split("\n")) == {body}
+    monkeypatch.setattr(html, "density", lambda *a: 1.0)
+    assert all(set(html.main_text(page).split("\n")) != {body} for page in pages)
+
+
+def test_densities_against_the_definition():
+    """Every density and sum from a plain recursion over the tree, and the chosen subtree from trying all nodes."""
+    rnd = random.Random(5)
+
+    def grow(depth):
+        out = []
+        for _ in range(rnd.randrange(1, 5)):
+            kind = rnd.random()
+            if kind < 0.35 or depth > 4:
+                out.append(text_of(rnd, rnd.randrange(1, 40)))
+            elif kind < 0.55:
+                out.append(f"<a href=x>{text_of(rnd, rnd.randrange(1, 6))}</a>")
+            elif kind < 0.6:
+                out.append("<script>var x = 1;</script>")
+            else:
+                out.append(f"<{(t := rnd.choice(['div', 'section', 'p', 'ul', 'form', 'aside']))}>{grow(depth + 1)}</{t}>")
+        return " ".join(out)
+
+    def measure(node):
+        size = lambda item: len(" ".join(item[0].split()))
+        texts = [i for i in node.items if type(i) is tuple]
+        children = [measure(i) for i in node.items if isinstance(i, html.Node) and not i.unseen]
+        links = sum(i is True for i in node.items)
+        own = (sum(map(size, texts)), sum(size(i) * i[1] for i in texts), 1 + links, links)
+        return [x + sum(c[k] for c in children) for k, x in enumerate(own)]
+
+    def rho(c, lc, t, lt, share):
+        return c / t * math.log(1 + c * t / (max(1, lc) * max(1, lt))) / math.log(math.e + c * lc / max(1, c - lc) + share * c)
+
+    for _ in range(60):
+        nodes = html.parse(f"<body>{grow(0)}</body>")
+        html._cut_off(nodes)
+        html._densities(nodes)
+        page = measure(nodes[0])
+        share = page[1] / max(1, page[0])
+        for node in (n for n in nodes if not n.unseen):
+            assert node.density == pytest.approx(rho(*measure(node), share))
+            parts = [rho(len(" ".join(i[0].split())), len(" ".join(i[0].split())) * i[1], 1, i[1], share) for i in node.items if type(i) is tuple]
+            parts += [rho(*measure(i), share) for i in node.items if isinstance(i, html.Node) and not i.unseen]
+            assert node.sum == pytest.approx(sum(parts))
+        live = [n for n in nodes if not n.cut and not n.unseen and n.chars]
+        if live:
+            best = max(live, key=lambda n: n.sum)
+            path = [best]
+            while path[-1].parent is not None:
+                path.append(path[-1].parent)
+            least = min(n.density for n in path)
+
+            def under(node):
+                return [n for n in live if any(m is node for m in ancestors(n))]
+
+            def ancestors(n):
+                while n is not None:
+                    yield n
+                    n = n.parent
+
+            want = {id(max(under(n), key=lambda x: (x.sum, -live.index(x)))) for n in live if n.density >= least} | {id(best)}
+            assert html.choose(nodes) == want
+
+
+def test_stray_and_deep_tags_take_linear_time():
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        html.main_text("<section>" * n + "</table></nav>" * n + "<ul><li>" + "<x>" * n + "<li>x</li>" * n + "<ul>" * n + "<p>end")
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(16_000) < 32 * max(0.02, seconds(2000))
+
+
 def test_op4(spark, folder):
     got = run(spark, "op4_main_text", folder).collect()
     assert len(got) == 8 and all(r.n_chars == len(r.text) for r in got)
