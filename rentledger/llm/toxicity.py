@@ -21,8 +21,8 @@ from .common import Scratch, numbered, row_number, type_of
 from .tokens import text_batches
 
 THRESHOLD = 0.7
-# Bounds of the training: labelled rows, features, and swaps taken from one document.
-ROWS, FEATURES, SWAPS = 20_000, 20_000, 8
+# Bounds of the training: labelled rows and the size of the model in features.
+ROWS, FEATURES = 20_000, 20_000
 LEAST_DOCS, LEAST_LIFT = 3, 3.0
 BEGINNINGS = (3, 4, 5, 6)
 PENALTY, RIDGE, STEPS, RATE = 10.0, 1e-4, 400, 0.1
@@ -49,7 +49,6 @@ IDENTITY = tuple(
     )
 )
 _WORD = re.compile(r"\w+")
-_SENTENCE = re.compile(r"[.!?\n]+")
 
 
 class Model(NamedTuple):
@@ -67,18 +66,23 @@ def features(text: str) -> set[str]:
     return {f for w in set(_WORD.findall(text.lower())) for f in word_features(w)}
 
 
-def _swaps(text: str, limit: int = SWAPS) -> list[tuple[str, str]]:
-    """Pairs (term, substitute) for the identity terms in the sentences of a text."""
-    found = []
-    for sentence in _SENTENCE.split(text.lower()):
-        words = set(_WORD.findall(sentence))
-        for terms in IDENTITY:
-            for k, term in enumerate(terms[:-1]):
-                if term in words:
-                    found += [(term, terms[(k + 1) % (len(terms) - 1)]), (term, terms[-1])]
-                    if len(found) >= limit:
-                        return found
-    return found
+def swaps(text: str) -> Iterator[tuple[set[str], set[str]]]:
+    """Features that a text loses and gains when an identity term is swapped in its sentences, for each term in it and both substitutes.
+
+    A feature that another word of the text has as well is neither lost nor gained. Every term counts once, so there are at most twice as many
+    swaps as terms.
+    """
+    words = set(_WORD.findall(text.lower()))
+    held = Counter(f for w in words for f in word_features(w))
+    for terms in IDENTITY:
+        for k, term in enumerate(terms[:-1]):
+            if term in words:
+                for other in dict.fromkeys((terms[(k + 1) % (len(terms) - 1)], terms[-1])):
+                    if other == term:
+                        continue
+                    gone = {f for f in word_features(term) if held[f] == 1}
+                    come = set(word_features(other)) if other not in words else set()
+                    yield gone - come, {f for f in come - gone if not held[f]}
 
 
 def held_out(doc_id: Column) -> Column:
@@ -125,7 +129,10 @@ def _counts(rows: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, rows: int = ROWS, penalty: float = PENALTY) -> Model:
-    """Fit on labelled rows only. Without toxic or without clean rows the model scores every text by the share of toxic ones."""
+    """Fit on labelled rows only. Without toxic or without clean rows the model scores every text by the share of toxic ones.
+
+    The model takes the ``FEATURES`` features that separate the training rows best; fewer are found on the tables at hand.
+    """
     sample = scratch.save(training_rows(docs, labels, rows), "training")
     sides = {r["toxic"] > 0: r["count"] for r in sample.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).count().collect()}
     toxic, clean = sides.get(True, 0), sides.get(False, 0)
@@ -148,11 +155,10 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, rows: int = ROWS
                 for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     there = features(text)
                     rows.append((int(toxic > 0), sorted(places[f] for f in there if f in places), None))
-                    for term, other in _swaps(text):
-                        gone = {places[f] for f in word_features(term) if f in places}
-                        come = {places[f] for f in word_features(other) if f in places}
-                        if gone != come:
-                            rows.append((int(toxic > 0), sorted(gone - come), sorted(come - gone)))
+                    for gone, come in swaps(text):
+                        lost, gained = (sorted(places[f] for f in x if f in places) for x in (gone, come))
+                        if lost or gained:
+                            rows.append((int(toxic > 0), lost, gained))
                 kinds = (pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()))
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds]
                 yield pa.RecordBatch.from_arrays(columns, names=["toxic", "a", "b"])
