@@ -2,7 +2,7 @@
 
 Every document gets a hash-random key. Within a source, documents are ordered by that key, which is cut into ranges by its
 leading digits: sizes are summed up within each range, and the sums of ranges give each its offset, so no task
-holds a source. A source is taken whole as often as its target allows, and once more up to the cut where the running
+holds a source, unless it is one document repeated. A source is taken whole as often as its target allows, and once more up to the cut where the running
 sum comes nearest to what remains.
 """
 
@@ -25,7 +25,9 @@ WORDS = r"[^\x20\x09-\x0D]+"
 def measured(docs: DataFrame, seed: str = SEED, number: str | None = None) -> DataFrame:
     """``doc_id, row_no, source, size, key``; the size is the number of words, 0 for a null text."""
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long")
-    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    # The text is part of it, so that documents that repeat an id are spread as well.
+    text = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), text).cast("binary"))
     return docs.select("doc_id", row_number(number), "source", size.alias("size"), key.alias("key"))
 
 
@@ -93,7 +95,7 @@ def _sql() -> str:
     return rf"""
 WITH d AS (
   SELECT doc_id, source, length(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
+         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size,
              CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % {len(WEIGHTS)} {weights} END AS weight
       FROM d GROUP BY source),

@@ -85,12 +85,13 @@ def assign(docs: DataFrame, scratch: Scratch, shards: int = SHARDS) -> DataFrame
 
     The doc_id and the topology decide alone; documents with equal ids share a shard, a null id is a key like any other. Size: bytes of
     the text, none for null, plus 1. Slots count from 0 without gaps in every shard: ranges of the document hash are
-    numbered apart and follow each other, so no task holds a shard. Other columns are ignored.
+    numbered apart and follow each other, so no task holds a shard, unless it is one document repeated. Other columns are ignored.
     """
     tree = topology(shards)
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     data = F.coalesce("text", F.lit("")).cast("binary")
-    hash_ = F.md5(F.concat(F.lit(SEED + ":"), key).cast("binary"))
+    # Ranges for the slots: documents that repeat an id with other texts are spread over them as well.
+    hash_ = F.md5(F.concat(F.lit(SEED + ":"), key, F.lit(":"), F.md5(data)).cast("binary"))
     rows = docs.select(
         "doc_id",
         (F.octet_length(data) + 1).cast("long").alias("size"),

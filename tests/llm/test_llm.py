@@ -561,7 +561,8 @@ def test_block_pruning_is_exact(spark):
     rnd = np.random.default_rng(4)
     v = np.floor(rnd.normal(0, 40, (700, 6))).astype(np.int64)
     v[100:140] = v[5]  # ties
-    blocks = [(np.arange(i, min(i + 32, 700)), v[i : i + 32], v[i : i + 32].max(axis=0), v[i : i + 32].min(axis=0)) for i in range(0, 700, 32)]
+    at = lambda i: np.arange(i, min(i + 32, 700))
+    blocks = [(at(i), at(i), v[i : i + 32], v[i : i + 32].max(axis=0), v[i : i + 32].min(axis=0)) for i in range(0, 700, 32)]
     own = np.arange(0, 700, 7)
     query, ids, scores = topk.search_tile(v[own], own, blocks, 5)
     got = defaultdict(set)
@@ -573,6 +574,61 @@ def test_block_pruning_is_exact(spark):
         assert got[q] == {(x, s[x]) for x in best}
 
 
+def test_scores_of_large_components_are_exact_or_an_error(spark):
+    """Components beyond 32 bits, sums beyond 53 and near 63 bits; rows that repeat a query's id are candidates."""
+    rnd, rows = random.Random(3), []
+    for i in range(300):
+        size = rnd.choice([1.0, 2.0**21, 2.0**22])
+        rows.append((i % 290, [rnd.uniform(-size, size) for _ in range(4)]))
+    rows += [rows[i] for i in range(0, 290, 50)]
+    df = Scratch(spark, "t").save(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "v")
+    got = Counter(tuple(r) for r in topk.search(df, Scratch(spark, "t")).collect())
+    terms = [(i, [math.floor(256 * x) for x in e]) for i, e in rows]
+    want = Counter()
+    for n, (q, a) in enumerate(terms):
+        if q % 50 == 0:
+            best = sorted((-sum(x * y for x, y in zip(a, b)), i) for m, (i, b) in enumerate(terms) if m != n)[:5]
+            want.update((q, rank, i, -s) for rank, (s, i) in enumerate(best, 1))
+    assert got == want and max(abs(s) for *_, s in want) > 1 << 56 and any(q == i for q, _, i, _ in want)
+    wide = spark.createDataFrame([(0, [2.0**25] * 2), (1, [2.0**25] * 2)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="fit a long"):
+        topk.search(wide, Scratch(spark, "t")).collect()
+    with pytest.raises(Exception, match="fit 64 bits"):
+        topk.search(spark.createDataFrame([(0, [1e30])], "vec_id long, embedding array<double>"), Scratch(spark, "t")).collect()
+
+
+def test_swaps_are_those_of_the_swapped_text():
+    """Against the features of whole texts in which every occurrence of the term is replaced."""
+    rnd = random.Random(6)
+    pool = [w for line in toxicity.IDENTITY[:6] for w in line] + "musical Muslimah womenfolk peopled came home christ".split()
+    for _ in range(200):
+        text = " ".join(rnd.choice(pool) + rnd.choice(["", "", ".", "!"]) for _ in range(rnd.randrange(1, 15)))
+        words, want = toxicity._WORD.findall(text.lower()), []
+        for terms in toxicity.IDENTITY:
+            for k, term in enumerate(terms[:-1]):
+                for other in dict.fromkeys((terms[(k + 1) % (len(terms) - 1)], terms[-1])):
+                    if term in words and other != term:
+                        before, after = toxicity.features(" ".join(words)), toxicity.features(" ".join(other if w == term else w for w in words))
+                        want.append((before - after, after - before))
+        assert list(toxicity.swaps(text)) == want
+
+
+def test_a_repeated_id_is_spread(spark):
+    """A third of the rows has one doc_id: no range of slots or of the mix holds more than a small part of them."""
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 7, id) AS doc_id", "concat('w ', id) AS text", "'s' AS source")
+    at = Scratch(spark, "t").save(rows, "docs")
+    scratch = Scratch(spark, "t")
+    slots = sharding.assign(at, scratch).collect()
+    placed = spark.read.parquet(scratch.path("placed")).where("doc_id = 7").groupBy("range").count().agg(F.max("count")).first()[0]
+    assert placed < 1500 and len({r.shard for r in slots if r.doc_id == 7}) == 1
+    by_shard = defaultdict(list)
+    for r in slots:
+        by_shard[r.shard].append(r.slot)
+    assert all(sorted(x) == list(range(len(x))) for x in by_shard.values())
+    keys = mixing.measured(at).where("doc_id = 7").groupBy(F.substring("key", 1, mixing.RANGE_DIGITS)).count().agg(F.max("count")).first()[0]
+    assert keys < 30
+
+
 # --- pipeline -------------------------------------------------------------------------------------
 
 
