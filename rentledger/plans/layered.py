@@ -81,12 +81,15 @@ def as_doubles(df: DataFrame) -> DataFrame:
 def clean_layer(tables: dict[str, DataFrame], fan_out: bool = True) -> dict[str, DataFrame]:
     """The transactional tables under model names.
 
-    Without ``fan_out`` history is summed per order, with its smallest refund order number, and refunded fees per payment.
+    Without ``fan_out`` history is summed per order, with the list of its refund order numbers, and refunded fees per payment.
     """
     named = {name: rename_project(tables[name], columns) for name, columns in CLEAN_COLUMNS.items()}
     if not fan_out:
-        sums = F.sum("order_level_refund").alias("order_level_refund"), F.min("refund_order_number").alias("refund_order_number")
-        named["OrderHistory"] = named["OrderHistory"].groupBy("order_id").agg(*sums)
+        refunds = F.sum("order_level_refund").alias("order_level_refund")
+        # Summed per number first, so that what is gathered of an order is its distinct numbers.
+        by_number = named["OrderHistory"].groupBy("order_id", "refund_order_number").agg(refunds)
+        numbers = F.transform(F.array_sort(F.collect_list("refund_order_number")), lambda n: n.cast("string"))
+        named["OrderHistory"] = by_number.groupBy("order_id").agg(refunds, F.when(F.size(numbers) > 0, F.array_join(numbers, ", ")).alias("refund_order_number"))
         fees = F.sum("refunded_processing_fee").alias("refunded_processing_fee")
         named["PaymentRefund"] = named["PaymentRefund"].groupBy("payment_id").agg(fees)
     return {name: as_doubles(df) for name, df in named.items()}

@@ -507,7 +507,7 @@ lines AS (
   FROM m_Orders o
   LEFT JOIN m_Reservations r ON r.Id = o.ReservationId
   LEFT JOIN m_OrderItems oi ON oi.OrderId = o.Id
-  LEFT JOIN (SELECT OrderId, sum(RefundedTotal) AS RefundedTotal, min(RefundOrderNumber) AS refund_number
+  LEFT JOIN (SELECT OrderId, sum(RefundedTotal) AS RefundedTotal, string_agg(DISTINCT cast(RefundOrderNumber as varchar), ', ' ORDER BY cast(RefundOrderNumber as varchar)) AS refund_number
              FROM m_OrderHistory GROUP BY OrderId) oh ON oh.OrderId = o.Id
   {DIMENSIONS}
   LEFT JOIN m_PaymentTransactions pt ON pt.OrderId = o.Id
