@@ -47,7 +47,12 @@ class Words(dict):
     """Numbers of words from 1 on, in the order they are met; 0 is the break between pieces."""
 
     def __init__(self):
-        super().__init__({_BREAK: 0})
+        super().__init__()
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self[_BREAK] = 0
         self.names, self.keys_, self.bytes = [_BREAK], [0], 0
 
     def __missing__(self, word: bytes) -> int:
@@ -74,7 +79,7 @@ def numbers(text: str, words: Words):
     return np.concatenate([*parts, np.zeros(1, np.int32)])
 
 
-def windows(batches, words: Words) -> Iterator[tuple[str, object]]:
+def windows(batches, words: Words, window: int = WINDOW, remembered: int = WORDS) -> Iterator[tuple[str, object]]:
     """``lang, numbers`` of bounded parts of the texts; three words of the next part stand behind each, behind a text there are breaks.
 
     N-grams that begin in the first ``len - 3`` places belong to the part.
@@ -88,8 +93,8 @@ def windows(batches, words: Words) -> Iterator[tuple[str, object]]:
     def hand_on() -> Iterator:
         for lang, parts in held.items():
             joined = np.concatenate([*parts, tail])
-            for i in range(0, len(joined) - len(tail), WINDOW):
-                yield lang, joined[i : i + WINDOW + len(tail)]
+            for i in range(0, len(joined) - len(tail), window):
+                yield lang, joined[i : i + window + len(tail)]
         held.clear()
 
     for whole in batches:
@@ -98,11 +103,11 @@ def windows(batches, words: Words) -> Iterator[tuple[str, object]]:
                 found = numbers(text, words)
                 held.setdefault(lang, []).append(found)
                 size += len(found)
-                if size >= WINDOW:
+                if size >= window:
                     yield from hand_on()
                     size = 0
-                    if len(words) > WORDS or words.bytes > WORD_BYTES:
-                        words.__init__()
+                    if len(words) > remembered or words.bytes > WORD_BYTES:
+                        words.forget()
     yield from hand_on()
 
 
@@ -151,7 +156,7 @@ def unpacked(blob: bytes):
     return np.cumsum(steps, dtype=np.uint32), raw[4 * n :].astype(np.int64)
 
 
-def summaries(rows: DataFrame, partitions: int, threshold: int) -> DataFrame:
+def summaries(rows: DataFrame, partitions: int, threshold: int, **sizes: int) -> DataFrame:
     """``part, mass, summary``: counts of the keys of each hash partition, over bounded parts of the text."""
     shift = 64 - (partitions.bit_length() - 1)
 
@@ -161,7 +166,7 @@ def summaries(rows: DataFrame, partitions: int, threshold: int) -> DataFrame:
 
         words = Words()
         edges = np.arange(1, partitions, dtype=np.uint64) << np.uint64(shift)
-        for lang, found in windows(batches, words):
+        for lang, found in windows(batches, words, **sizes):
             table = np.array(words.keys_, np.uint64)
             keys, counts = np.unique(np.concatenate([k for _, k, _ in gram_keys(found, table, _seed(lang))]), return_counts=True)
             counts = np.minimum(counts, threshold)
@@ -218,13 +223,13 @@ class Summary:
         return self.prints[self.counts + self.taken >= threshold]
 
 
-def survivors(rows: DataFrame, scratch: Scratch, threshold: int = THRESHOLD, counters: int = COUNTERS, partitions: tuple[int, int] = PARTITIONS) -> tuple[DataFrame, int]:
+def survivors(rows: DataFrame, scratch: Scratch, threshold: int = THRESHOLD, counters: int = COUNTERS, partitions: tuple[int, int] = PARTITIONS, **sizes: int) -> tuple[DataFrame, int]:
     """``part, print`` of all keys that may be frequent, and the number of hash partitions."""
     letters = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     least, most = partitions
     # Words are at least two characters with their separator, so this is more than there are n-grams.
     parts = min(most, 1 << max(least.bit_length() - 1, (LONGEST * letters // 2 // (threshold * counters)).bit_length()))
-    written = scratch.save(summaries(rows, parts, threshold), "summaries")
+    written = scratch.save(summaries(rows, parts, threshold, **sizes), "summaries")
     # One number for each partition, at most 65,536.
     mass = {r.part: r.mass for r in written.groupBy("part").agg(F.sum("mass").alias("mass")).collect()}
 
@@ -282,7 +287,7 @@ def bloom(found: DataFrame, partitions: int, bits: int = BITS) -> bytes:
     return bytes(made)
 
 
-def phrase_counts(rows: DataFrame, found: DataFrame, partitions: int, bits: int = BITS) -> DataFrame:
+def phrase_counts(rows: DataFrame, found: DataFrame, partitions: int, bits: int = BITS, **sizes: int) -> DataFrame:
     """``lang, phrase, words, n`` of n-grams that pass the filter, and of all words together (0 words); a key comes several times."""
     shift = 64 - (partitions.bit_length() - 1)
     shared = rows.sparkSession.sparkContext.broadcast(bloom(found, partitions, bits))
@@ -294,7 +299,7 @@ def phrase_counts(rows: DataFrame, found: DataFrame, partitions: int, bits: int
         words = Words()
         known = np.frombuffer(shared.value, np.uint8)
         kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
-        for lang, found in windows(batches, words):
+        for lang, found in windows(batches, words, **sizes):
             table = np.array(words.keys_, np.uint64)
             made: list[tuple[str, str, int, int]] = [(lang, "", 0, int((found[: 1 - LONGEST] > 0).sum()))]
             for n, keys, at in gram_keys(found, table, _seed(lang)):
@@ -338,7 +343,7 @@ def scored(frequent: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def collocations(
-    docs: DataFrame, scratch: Scratch, threshold: int = THRESHOLD, covered: tuple[int, int] = COVERED, first: int | None = FIRST, counters: int = COUNTERS, **filters
+    docs: DataFrame, scratch: Scratch, threshold: int = THRESHOLD, covered: tuple[int, int] = COVERED, first: int | None = FIRST, counters: int = COUNTERS, bits: int = BITS, **sizes: int
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the ``first`` phrases of each language by score, count and phrase; None for all.
 
@@ -346,8 +351,8 @@ def collocations(
     and empty tables give no rows; other columns are ignored.
     """
     rows = read(docs)
-    found, parts = survivors(rows, scratch, threshold, counters)
-    counted = phrase_counts(rows, found, parts, **filters).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a"))
+    found, parts = survivors(rows, scratch, threshold, counters, **sizes)
+    counted = phrase_counts(rows, found, parts, bits, **sizes).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a"))
     counted = scratch.save(counted.where((F.col("a") >= threshold) | (F.col("words") == 0)), "counted")
     totals = counted.where("words = 0").select("lang", F.col("a").alias("n"))
     frequent = counted.where("words > 0")
