@@ -2,9 +2,10 @@
 
 The common terms of a language are found by iceberg prefix refinement. A pass over the texts counts, for every byte prefix of some
 length, the documents that have it; prefixes below the threshold are discarded, and the next pass extends only those that
-remain, to twice the length. Terms that end within a level are complete there, and their counts by source are taken in
-the same pass. As no term is in more documents than its prefix, no common term is lost. Tasks know the prefixes that remain by a
-bitmap of fixed size: two prefixes on one bit let a rare one pass, and its own exact count discards it a level later.
+remain, to four times the length. Terms that end within a level are complete there. As no term is in more documents than its
+prefix, no common term is lost. In these passes a prefix is a 64-bit hash with its language, and tasks know what remains by a bitmap
+of fixed size: prefixes that meet in either let a rare one pass, never the other way round. When complete terms remain only, a last pass counts
+them by their bytes, and these counts decide.
 
 A group gives a share to every common term of its language, also to those it lacks. Groups without a term all give it the same share,
 so sums over all terms are put together from the terms that occur.
@@ -22,46 +23,126 @@ from .tokens import text_batches
 
 THRESHOLD = 10
 TOP = 10
-# Bytes of the prefixes of the first level; each level doubles it.
-FIRST = 4
+# Bytes of the prefixes of the first level, and how much longer those of the next one are.
+FIRST, LONGER = 8, 4
 # Bits of the bitmap of remaining prefixes: 4 MB, whatever the input.
 BITS = 1 << 25
-# Terms that a task counts at a time; terms that it remembers from one part to the next, and their bytes.
-HELD = 1 << 20
-TERMS, TERM_BYTES = 300_000, 1 << 24
-# Bytes of a long text that are split at a time.
-SLICE = 1 << 20
+# Bytes of text that a task counts at a time; longer texts are taken in slices.
+HELD = 1 << 23
+# Counts by source and terms that a task holds before it hands them on.
+ROWS_HELD, TERMS_HELD = 1_000_000, 400_000
 UNIT = 1_000_000_000
 _PLAIN = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
 
-class Terms(dict):
-    """Numbers of terms in the order they are met, and for the level at hand their prefixes and which of them may go on."""
+def slices(data: bytes, size: int) -> Iterator[bytes]:
+    """Parts of about ``size`` bytes that end where a term does."""
+    start = 0
+    while start < len(data):
+        end = data.find(b" ", start + size) if len(data) - start > size else -1
+        end = len(data) if end < 0 else end
+        yield data[start:end]
+        start = end
+
+
+class Words:
+    """The terms of some bytes, as places and lengths: runs of ASCII letters, lower-cased, and of bytes beyond ASCII."""
+
+    def __init__(self, data: bytes):
+        import numpy as np
+
+        self.data = data
+        letters = np.frombuffer(b" " + data + b" ", np.uint8) != 0x20
+        edges = np.flatnonzero(letters[1:] != letters[:-1])
+        self.start, self.length = edges[::2], edges[1::2] - edges[::2]
+        # Eight bytes from any place on as one number.
+        self.eight = np.ndarray((len(data) + 1,), "<u8", data + bytes(8), strides=(1,))
+
+    def keep(self, chosen) -> None:
+        self.start, self.length = self.start[chosen], self.length[chosen]
+
+    def chunk(self, chosen, at: int, upto: int):
+        """Bytes ``at`` to ``at + 8`` of the chosen terms, but none from ``upto`` on; missing ones are 0, which no term has."""
+        import numpy as np
+
+        many = np.clip(np.minimum(self.length[chosen], upto) - at, 0, 8).astype(np.uint64)
+        mask = np.where(many == 8, np.uint64(0xFFFFFFFFFFFFFFFF), (np.uint64(1) << (many % np.uint64(8) * np.uint64(8))) - np.uint64(1))
+        return self.eight[self.start[chosen] + at].astype(np.uint64) & mask
+
+    def keys(self, seed: int, upto: int):
+        """A 64-bit hash of the first ``upto`` bytes of each term, or of the whole term if that is shorter."""
+        import numpy as np
+
+        made, live, at = np.full(len(self.start), seed, np.uint64), np.arange(len(self.start)), 0
+        while len(live) and at < upto:
+            h = (made[live] ^ self.chunk(live, at, upto)) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            made[live] = h ^ (h >> np.uint64(32))
+            at += 8
+            live = live[self.length[live] > at]
+        return made
+
+    def numbers(self):
+        """Equal numbers for equal terms: eight bytes after eight, those with the same number so far and the same next bytes stay together."""
+        import numpy as np
+
+        found, live, at, used = np.zeros(len(self.start), np.int64), np.arange(len(self.start)), 0, 0
+        while len(live):
+            _, both = np.unique(self.chunk(live, at, at + 8), return_inverse=True)
+            if at:
+                _, both = np.unique(found[live] * (int(both.max()) + 1) + both, return_inverse=True)
+            found[live] = both + used
+            used += int(both.max()) + 1
+            at += 8
+            live = live[self.length[live] > at]
+        return found
+
+    def at(self, i: int) -> bytes:
+        return self.data[self.start[i] : self.start[i] + self.length[i]]
 
-    def __init__(self):
-        super().__init__()
-        self.names: list[bytes] = []
-        self.bytes = 0
 
-    def __missing__(self, term: bytes) -> int:
-        self[term] = number = len(self.names)
-        self.names.append(term)
-        self.bytes += len(term)
-        return number
+def _seed(lang: str) -> int:
+    from xxhash import xxh64_intdigest
 
+    return xxh64_intdigest(lang, 42)
 
-def numbers(text: str, known: Terms):
-    """The terms of a text as numbers: runs of ASCII letters, lower-cased, and of characters beyond ASCII. Long texts are split a slice at a time."""
+
+def _among(keys, remaining: bytes):
     import numpy as np
 
-    data, start, parts = text.encode().translate(_PLAIN), 0, []
-    while start < len(data):
-        end = data.find(b" ", start + SLICE) if len(data) - start > SLICE else -1
-        end = len(data) if end < 0 else end
-        found = data[start:end].split()
-        parts.append(np.fromiter(map(known.__getitem__, found), np.int64, len(found)))
-        start = end
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    bits = np.frombuffer(remaining, np.uint8)
+    at = keys >> np.uint64(1) & np.uint64(8 * len(remaining) - 1)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def windows(batches, held: int) -> Iterator[tuple[str, list[str], list[bytes]]]:
+    """``lang, sources, texts`` of documents of one language, about ``held`` bytes; a longer text comes alone."""
+    waiting: dict[str, tuple[list[str], list[bytes]]] = {}
+    size = 0
+    for whole in batches:
+        for batch in text_batches(whole):
+            for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                data = text.encode().translate(_PLAIN)
+                if len(data) > held:
+                    yield lang, [source], [data]
+                    continue
+                sources, texts = waiting.setdefault(lang, ([], []))
+                sources.append(source)
+                texts.append(data)
+                size += len(data)
+                if size >= held:
+                    yield from ((k, *v) for k, v in waiting.items())
+                    waiting, size = {}, 0
+    yield from ((k, *v) for k, v in waiting.items())
+
+
+def _documents(words: Words, texts: list[bytes]):
+    """The place in ``texts``, joined by blanks, of the document of each term."""
+    import numpy as np
+
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return np.searchsorted(ends, words.start, side="right")
 
 
 def read(docs: DataFrame) -> DataFrame:
@@ -70,123 +151,160 @@ def read(docs: DataFrame) -> DataFrame:
 
 
 def level_counts(rows: DataFrame, length: int, below: int = 0, remaining: bytes | None = None, held: int = HELD) -> DataFrame:
-    """``lang, source, term, open, docs, n``: documents of open prefixes of ``length`` bytes, and documents and occurrences of shorter terms.
+    """``key, docs``: documents of each open prefix of ``length`` bytes and of each shorter term, by their hash with the language.
 
-    Only what is at least ``below`` bytes long counts, and only if its prefix of that length may be among the remaining ones. Open prefixes are
-    counted over all sources. Tasks count parts of about ``held`` terms at a time, so a key comes several times.
+    The lowest bit of a key says whether it is an open prefix.
+    Only what is at least ``below`` bytes long counts, and only if its prefix of that length may be among the remaining ones. Tasks count a
+    bounded part of the texts at a time, so a key comes several times.
     """
-    schema = "lang string, source string, term binary, open boolean, docs long, n long"
+
+    def found(words: Words, lang: str):
+        import numpy as np
+
+        seed = _seed(lang)
+        if below:
+            words.keep(words.length >= below)
+            words.keep(_among(words.keys(seed, below), remaining))
+        return words.keys(seed, length) & ~np.uint64(1) | (words.length >= length).astype(np.uint64)
 
     def run(batches) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        from xxhash import xxh64_intdigest
-
-        known, waiting, size = Terms(), {}, 0
-        names = ["lang", "source", "term", "open", "docs", "n"]
-        kinds = [pa.string(), pa.string(), pa.binary(), pa.bool_(), pa.int64(), pa.int64()]
-
-        def live(lang: str, ids):
-            """The distinct numbers that belong to this level: long enough, and their prefix may remain."""
-            seed, found = xxh64_intdigest(lang, 42), []
-            for i in np.unique(ids).tolist():
-                term = known.names[i]
-                if len(term) < below:
-                    continue
-                if remaining is not None:
-                    bit = xxh64_intdigest(term[:below], seed) % BITS
-                    if not remaining[bit >> 3] >> (bit & 7) & 1:
-                        continue
-                found.append(i)
-            return found
-
-        def counted(lang: str, sources: list[str], parts: list) -> Iterator:
-            ids = np.concatenate(parts)
-            doc = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-            labels = sorted(set(sources))
-            source = np.array([labels.index(x) for x in sources], np.int64) if len(labels) < 100 else np.unique(sources, return_inverse=True)[1]
-            closed, place, prefixes = np.zeros(len(known.names), bool), np.full(len(known.names), -1, np.int64), Terms()
-            for i in live(lang, ids):
-                term = known.names[i]
-                closed[i] = len(term) < length
-                if len(term) >= length:
-                    place[i] = prefixes[term[:length]]
-            here = closed[ids]
-            if here.any():
-                own, at, wide = ids[here], doc[here], len(known.names)
-                keys, n = np.unique(source[at] * wide + own, return_counts=True)
-                pairs = np.unique(at * wide + own)
-                same, docs = np.unique(source[pairs // wide] * wide + pairs % wide, return_counts=True)
-                yield [labels[k] for k in (same // wide).tolist()], [known.names[k] for k in (same % wide).tolist()], False, docs, n
-            at = place[ids]
-            here = at >= 0
-            if here.any():
-                wide = len(prefixes.names)
-                pairs = np.unique(doc[here] * wide + at[here])
-                yield [None] * wide, prefixes.names, True, np.bincount(pairs % wide, minlength=wide), np.zeros(wide, np.int64)
+
+        for lang, _, texts in windows(batches, held):
+            if len(texts) == 1:  # maybe a long one: its distinct keys, slice by slice
+                parts = [np.unique(found(Words(part), lang)) for part in slices(texts[0], held)]
+                keys = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+                docs = np.ones(len(keys), np.int64)
+            else:
+                words = Words(b" ".join(texts))
+                keys, back = np.unique(found(words, lang), return_inverse=True)
+                pairs = np.unique(_documents(words, texts) << 32 | back)
+                docs = np.bincount(pairs & 0xFFFFFFFF, minlength=len(keys)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(docs)], names=["key", "docs"])
+
+    return rows.mapInArrow(run, "key long, docs long")
+
+
+def bitmap(keys: DataFrame, bits: int = BITS) -> bytes:
+    """One bit for each ``key``, by what stands above its lowest bit, built by Spark and handed to the driver in blocks of 4 KB."""
+    blocks = keys.select(F.shiftrightunsigned("key", 1).bitwiseAND(F.lit(bits - 1)).alias("bit")).groupBy(F.shiftright("bit", 15).alias("block"))
+    made = bytearray(bits // 8)
+    for r in blocks.agg(F.bitmap_construct_agg(F.col("bit") % (1 << 15)).alias("bits")).collect():
+        made[r.block << 12 : (r.block + 1) << 12] = r.bits
+    return bytes(made)
+
+
+def term_counts(rows: DataFrame, longest: int, kept: bytes, held: int = HELD, rows_held: int = ROWS_HELD, terms_held: int = TERMS_HELD) -> DataFrame:
+    """``lang, source, term, docs, n``: documents and occurrences of the terms shorter than ``longest`` whose hash may be among the kept ones.
+
+    A task adds up the counts of the parts of its text until it holds many, so a key comes a few times at most.
+    """
+
+    def run(batches) -> Iterator:
+        from collections import Counter, defaultdict
+
+        import numpy as np
+        import pyarrow as pa
+
+        kinds = {"lang": pa.string(), "source": pa.string(), "term": pa.binary(), "docs": pa.int64(), "n": pa.int64()}
+        terms: dict[bytes, int] = defaultdict(lambda: len(terms))
+        groups: dict[tuple[str, str], int] = defaultdict(lambda: len(groups))
+        waiting: list[tuple] = []  # group and term as one number, documents, occurrences
+
+        def chosen(data: bytes, lang: str) -> Words:
+            words = Words(data)
+            words.keep(words.length < longest)
+            words.keep(_among(words.keys(_seed(lang), longest), kept))
+            return words
+
+        def summed() -> int:
+            if len(waiting) > 1:
+                keys, docs, n = (np.concatenate(x) for x in zip(*waiting))
+                order = np.argsort(keys, kind="stable")
+                keys = keys[order]
+                first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+                waiting[:] = [(keys[first], np.add.reduceat(docs[order], first), np.add.reduceat(n[order], first))] if len(keys) else []
+            return sum(len(k) for k, _, _ in waiting)
 
         def hand_on() -> Iterator:
-            for lang, (sources, parts) in waiting.items():
-                for found, found_terms, open_, docs, n in counted(lang, sources, parts):
-                    for k in range(0, len(found), 50_000):
-                        cut = slice(k, k + 50_000)
-                        many = len(found[cut])
-                        columns = [[lang] * many, found[cut], found_terms[cut], [open_] * many, docs[cut].astype(np.int64), n[cut].astype(np.int64)]
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+            summed()
+            names, labels = list(terms), list(groups)
+            for keys, docs, n in waiting:
+                for i in range(0, len(keys), 50_000):
+                    part = keys[i : i + 50_000]
+                    group, term = (part >> 32).tolist(), (part & 0xFFFFFFFF).tolist()
+                    columns = [[labels[g][0] for g in group], [labels[g][1] for g in group], [names[t] for t in term], docs[i : i + 50_000], n[i : i + 50_000]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], names=list(kinds))
             waiting.clear()
-            if len(known) > TERMS or known.bytes > TERM_BYTES:
-                known.clear()
-                known.__init__()
-
-        for whole in batches:
-            for batch in text_batches(whole):
-                for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                    ids = numbers(text, known)
-                    size += len(ids)
-                    sources, parts = waiting.setdefault(lang, ([], []))
-                    sources.append(source)
-                    parts.append(ids)
-                    if size >= held:
-                        yield from hand_on()
-                        size = 0
+            terms.clear()
+            groups.clear()
+
+        for lang, sources, texts in windows(batches, held):
+            if len(texts) == 1:
+                total: Counter[bytes] = Counter()
+                for part in slices(texts[0], held):
+                    words = chosen(part, lang)
+                    total.update(words.at(i) for i in range(len(words.start)))
+                keys = np.array([groups[lang, sources[0]] << 32 | terms[t] for t in total], np.int64)
+                waiting.append((keys, np.ones(len(keys), np.int64), np.array(list(total.values()), np.int64)))
+            else:
+                words = chosen(b" ".join(texts), lang)
+                if not len(words.start):
+                    continue
+                doc, term = _documents(words, texts), words.numbers()
+                place = np.full(int(term.max()) + 1, -1, np.int64)
+                place[term] = np.arange(len(term))  # some place of each term
+                own = np.full(len(place), -1, np.int64)
+                used = np.flatnonzero(place >= 0)
+                own[used] = [terms[words.at(i)] for i in place[used].tolist()]
+                # Documents in order, so that equal pairs of document and term are counted first, then these by source.
+                pairs, times = np.unique(doc << 32 | own[term], return_counts=True)
+                source = np.array([groups[lang, x] for x in sources], np.int64) << 32
+                keys = source[pairs >> 32] | pairs & 0xFFFFFFFF
+                order = np.argsort(keys)
+                keys = keys[order]
+                first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+                docs, n = np.diff(np.append(first, len(keys))), np.add.reduceat(times[order], first)
+                keys = keys[first]
+                waiting.append((keys, docs, n))
+            if sum(len(k) for k, _, _ in waiting) > rows_held and summed() > rows_held or len(terms) > terms_held:
+                yield from hand_on()
         yield from hand_on()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, "lang string, source string, term binary, docs long, n long")
 
 
-def bitmap(prefixes: DataFrame) -> bytes:
-    """One bit for each hash of ``lang, term``: ``BITS`` bits, built by Spark and handed to the driver in blocks."""
-    bit = F.pmod(F.xxhash64("lang", "term"), F.lit(BITS))
-    blocks = prefixes.select(bit.alias("bit")).groupBy(F.shiftright("bit", 15).alias("block"))
-    bits = bytearray(BITS // 8)
-    for r in blocks.agg(F.bitmap_construct_agg(F.col("bit") % (1 << 15)).alias("bits")).collect():
-        bits[r.block << 12 : (r.block + 1) << 12] = r.bits
-    return bytes(bits)
-
-
-def common_terms(rows: DataFrame, scratch: Scratch, threshold: int = THRESHOLD, first: int = FIRST, held: int = HELD) -> DataFrame:
+def common_terms(rows: DataFrame, scratch: Scratch, threshold: int = THRESHOLD, first: int = FIRST, held: int = HELD, bits: int = BITS, **counts_held: int) -> DataFrame:
     """``lang, source, term, n``: occurrences by source of the terms that at least ``threshold`` documents of the language have."""
-    below, length, remaining, parts = 0, first, None, []
+    below, length, remaining, ended = 0, first, None, []
     while True:
-        counted = level_counts(rows, length, below, remaining, held).groupBy("open", "lang", "source", "term")
-        counted = scratch.save(counted.agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")), f"level{length}")
-        ended = counted.where("not open")
-        kept = ended.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= threshold)
-        parts.append(scratch.save(ended.join(kept.select("lang", "term"), ["lang", "term"]).select("lang", "source", F.col("term").cast("string").alias("term"), "n"), f"kept{length}"))
-        extended = counted.where("open").where(F.col("docs") >= threshold).select("lang", "term")
+        counted = level_counts(rows, length, below, remaining, held).groupBy("key").agg(F.sum("docs").alias("docs"))
+        counted = scratch.save(counted.where(F.col("docs") >= threshold).select("key"), f"level{length}")
+        open_ = F.col("key").bitwiseAND(F.lit(1)) == 1
+        ended.append(counted.where(~open_))
+        extended = counted.where(open_)
         if not extended.limit(1).count():
             break
-        remaining, below, length = bitmap(extended), length, 2 * length
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionAll(part)
-    return found
+        remaining, below, length = bitmap(extended, bits), length, LONGER * length
+    complete = ended[0]
+    for part in ended[1:]:
+        complete = complete.unionAll(part)
+    counts = term_counts(rows, length, bitmap(complete, bits), held, **counts_held).groupBy("lang", "source", "term")
+    counts = scratch.save(counts.agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")), "terms")
+    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= threshold).select("lang", "term")
+    return counts.join(kept, ["lang", "term"]).select("lang", "source", F.col("term").cast("string").alias("term"), "n")
 
 
 def share(n: Column, total: Column, terms_: Column) -> Column:
-    """The share of a term in billionths, plus one: ``1 + floor(10^9 * (n + 2) / (total + 2 * terms))``, exact."""
-    n, total, terms_ = (c.cast("decimal(20,0)") for c in (n, total, terms_))
-    return F.call_function("div", (n + 2) * F.lit(UNIT).cast("decimal(10,0)"), F.nullif(total + terms_ * 2, F.lit(0))) + 1
+    """The share of a term in billionths, plus one: ``1 + floor(10^9 * (n + 2) / (total + 2 * terms))``, exact.
+
+    Computed in longs as long as the product fits, in decimals beyond.
+    """
+    wide = [c.cast("decimal(20,0)") for c in (n, total, terms_)]
+    small = F.call_function("div", (n + 2) * F.lit(UNIT).cast("long"), F.nullif(total + terms_ * 2, F.lit(0).cast("long")))
+    large = F.call_function("div", (wide[0] + 2) * F.lit(UNIT).cast("decimal(10,0)"), F.nullif(wide[1] + wide[2] * 2, F.lit(0)))
+    return F.when(n < F.lit((1 << 63) // UNIT - 3), small).otherwise(large) + 1
 
 
 def gap(p: Column, q: Column) -> Column:
@@ -221,7 +339,7 @@ def shared_terms(shares: DataFrame) -> DataFrame:
                 j = i + d
                 values.append(gaps(p[i], p[j]) - gaps(p[i], p0[j]) - gaps(p0[i], p[j]) + gaps(p0[i], p0[j]))
                 keys.append((lang[i] * wide + source[i]) * wide + source[j])
-                if sum(map(len, keys)) > HELD:
+                if sum(map(len, keys)) > 1 << 20:
                     yield made(np.concatenate(keys), np.concatenate(values), langs.dictionary, sources.dictionary)
                     keys, values = [], []
             if keys:
@@ -269,14 +387,15 @@ def divergence(docs: DataFrame, scratch: Scratch, threshold: int = THRESHOLD, to
     sums = found.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     groups = rows.select("lang", "source").distinct().join(langs, "lang", "left").join(sums, ["lang", "source"], "left")
-    groups = groups.select("lang", "source", *map(zero, ("terms", "lang_total", "total", "own")))
-    lacking = share(F.lit(0), F.col("total"), F.col("terms"))
+    groups = groups.select("lang", "source", *map(zero, ("terms", "total", "own")))
+    lacking = share(F.lit(0).cast("long"), F.col("total"), F.col("terms"))
     groups = scratch.save(groups.withColumn("lacking", F.when(F.col("terms") > 0, lacking)), "groups")
-    known = groups.select("lang", "source", "terms", "lang_total", "total", "lacking")
+    known = groups.select("lang", "source", "terms", "total", "lacking")
     shares = found.join(known, ["lang", "source"])
-    shares = scratch.save(shares.select("lang", "source", "term", share(F.col("n"), F.col("total"), F.col("terms")).alias("p"), "lacking", "terms", "lang_total"), "shares")
+    shares = scratch.save(shares.select("lang", "source", "term", share(F.col("n"), F.col("total"), F.col("terms")).alias("p"), "lacking"), "shares")
 
-    above = shares.join(overall, ["lang", "term"]).withColumn("q", share(F.col("all"), F.col("lang_total"), F.col("terms"))).where("p > q")
+    usual = overall.join(langs, "lang").select("lang", "term", share(F.col("all"), F.col("lang_total"), F.col("terms")).alias("q"))
+    above = shares.join(usual, ["lang", "term"]).where("p > q")
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     peaks = above.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), gap(F.col("p"), F.col("q")).alias("value"))
     peaks = peaks.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)

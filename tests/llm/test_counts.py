@@ -55,13 +55,8 @@ def test_sql(spark, folder, name):
 def test_summaries_that_overflow_lose_no_frequent_phrase(spark, folder):
     """Few counters, windows and filter bits: keys are taken from, hits are false, and the result is the same."""
     docs, want = table(spark, folder), None
-    before = collocations.WINDOW
-    for counters, window, bits in ((1 << 20, before, 1 << 26), (4, 500, 1 << 20), (2, 97, 1 << 15)):
-        collocations.WINDOW = window
-        try:
-            got = sorted(map(tuple, collocations.collocations(docs.repartition(1), Scratch(spark, "t"), first=None, counters=counters, bits=bits).collect()))
-        finally:
-            collocations.WINDOW = before
+    for sizes in ({}, {"counters": 4, "bits": 1 << 20, "window": 500, "remembered": 10}, {"counters": 2, "bits": 1 << 15, "window": 97}):
+        got = sorted(map(tuple, collocations.collocations(docs.repartition(1), Scratch(spark, "t"), first=None, **sizes).collect()))
         assert want is None or got == want
         want = got
     assert len(want) > 100
@@ -138,18 +133,36 @@ def test_long_texts_are_cut_between_pre_tokens(library, monkeypatch):
 # --- divergence -----------------------------------------------------------------------------------
 
 
-def test_refinement_by_any_steps(spark, folder, monkeypatch):
+def test_refinement_by_any_steps(spark, folder):
     """First levels of 1 and 40 bytes, small shares of the text at a time and a bitmap full of false hits find the same terms."""
     rows = divergence.read(table(spark, folder))
     want = sorted(map(tuple, divergence.common_terms(rows, Scratch(spark, "t")).collect()))
     brute, seen = Counter(), Counter()
     for r in rows.collect():
-        known = divergence.Terms()
-        words = [known.names[i].decode() for i in divergence.numbers(r.text, known).tolist()]
+        words = [w.decode() for w in r.text.encode().translate(divergence._PLAIN).split()]
         brute.update((r.lang, r.source, w) for w in words)
         seen.update((r.lang, w) for w in set(words))
     assert want == sorted((*k, n) for k, n in brute.items() if seen[k[0], k[2]] >= 10) and len(want) > 50
-    monkeypatch.setattr(divergence, "BITS", 1 << 15)
-    monkeypatch.setattr(divergence, "SLICE", 20)
     for first in (1, 40):
-        assert sorted(map(tuple, divergence.common_terms(rows, Scratch(spark, "t"), first=first, held=1000).collect())) == want
+        assert sorted(map(tuple, divergence.common_terms(rows, Scratch(spark, "t"), first=first, held=1000, bits=1 << 15, rows_held=500 * first, terms_held=300).collect())) == want
+
+
+def test_words_as_numbers():
+    rnd = random.Random(9)
+    text = " ".join("".join(rnd.choice("aé日") for _ in range(rnd.randrange(1, 30))) for _ in range(3000)) + "- x,Y\x00z  "
+    data = text.encode().translate(divergence._PLAIN)
+    words, plain = divergence.Words(data), data.split()
+    assert [words.at(i) for i in range(len(words.start))] == plain
+    groups = lambda numbers, names: len({(n, w) for n, w in zip(numbers.tolist(), names)}) == len(set(numbers.tolist())) == len(set(names))
+    assert groups(words.numbers(), plain)
+    for upto in (1, 3, 8, 11, 16, 200):
+        assert groups(words.keys(7, upto), [w[:upto] for w in plain])
+    assert b"".join(divergence.slices(data, 50)) == data
+    assert not len(divergence.Words(b"").start) and not len(divergence.Words(b"   ").numbers())
+
+
+def test_shares_are_exact_beyond_longs(spark):
+    rows = [(n, t, v) for n in (0, 7, 9_223_372_033, 9_223_372_034, 10**15) for t in (n, 3 * n + 1) for v in (1, 10**9)]
+    df = spark.createDataFrame(rows, "n long, t long, v long")
+    got = [r[0] for r in df.select(divergence.share(df.n, df.t, df.v)).collect()]
+    assert got == [1 + 10**9 * (n + 2) // (t + 2 * v) for n, t, v in rows]
