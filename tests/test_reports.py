@@ -13,6 +13,7 @@ from rentledger.plans.model import REFERENCES, names_in_use, restricted
 from rentledger.sources.schema import SNAPSHOT_COLUMNS
 from rentledger.sources.snapshot import snapshot, write_table
 from workload.model_sql import MODEL, ModelTables
+from workload.queries import QUERIES, bound
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -170,6 +171,13 @@ def test_payments_view_counts_refunds(m):
     assert repeated.count() == plain.selectExpr("sum(greatest(coalesce(refund_count, 1), 1))").first()[0] > plain.count()
 
 
+def test_payments_view_queries_repeat_rows_for_refunds(spark, m):
+    """The registered views have every refund of a payment as a row of its own."""
+    named, whole, counted = (bound(QUERIES[n])(spark, FOLDER) for n in ("named_view", "payments_view", "payments_view_counted"))
+    repeated = counted.selectExpr("sum(greatest(coalesce(refund_count, 1), 1))").first()[0]
+    assert named.count() == whole.count() == repeated > counted.count()
+
+
 def test_transaction_rows(spark, m):
     rows = transaction_report(m)
     kinds = {r["Transaction Type"]: r["n"] for r in rows.groupBy("Transaction Type").agg(F.count(F.lit(1)).alias("n")).collect()}

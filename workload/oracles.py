@@ -607,7 +607,7 @@ SQL = {
     ),
     "materialize_stage": f"SELECT LocationId AS location_id, count(*) AS n_items, cast(sum(TotalAmount) as {MONEY}) AS amount FROM m_OrderItems oi WHERE {NO_ROOTS} GROUP BY LocationId",
     "overwrite_idempotent": "SELECT Id, ReservationCode FROM m_Reservations",
-    "named_view": f"SELECT order_id, order_item_id, payment_transaction_id, paid_amount, location_name, site_name FROM ({PAYMENTS_VIEW}) v",
+    "named_view": f"SELECT order_id, order_item_id, payment_transaction_id, paid_amount, location_name, site_name FROM ({PAYMENTS_VIEW_REPEATED}) v",
     "literal_table": f"SELECT OrderNumber AS order_number, OrderNumber IN (SELECT order_number FROM {LISTED} i) AS listed FROM m_Orders",
     "report_sink": f'WITH {ORDER_CURRENT} SELECT "Line Item ID" AS line_item, "Total Collected" AS total_collected, "Order Amount" AS order_amount FROM report',
     "csv_report_io": "SELECT Id, Source, PaymentType, concat('say \"', Status, '\",', chr(10), 'ok', chr(10), chr(10), '\"') AS Note, cast(Amount as varchar) AS Amount FROM m_PaymentTransactions",
@@ -742,7 +742,8 @@ SQL = {
     "order_report_order_total": layered_report(False),
     "order_report_clamped": layered_report(True),
     "refund_report": REFUND_REPORT,
-    "payments_view": PAYMENTS_VIEW,
+    "payments_view": PAYMENTS_VIEW_REPEATED,
+    "payments_view_counted": PAYMENTS_VIEW,
     "payments_view_repeated": PAYMENTS_VIEW_REPEATED,
     "staging_run": " UNION ALL ".join(map(staged_counts, SNAPSHOT_COLUMNS)),
     "order_report_from_stage": f"WITH {ORDER_CURRENT} {FINAL}",
