@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rentledger.operators.controls import numbered_names
 from rentledger.plans import order_report, order_total_report, payments_view, refund_report, transaction_report
 from rentledger.plans.transaction_report import LABELS
-from rentledger.plans.model import REFERENCES, names_in_use, restricted
+from rentledger.plans.model import REFERENCES, attributes, items_of, names_in_use, restricted, with_dimensions, written
 from rentledger.sources.schema import SNAPSHOT_COLUMNS
 from rentledger.sources.snapshot import snapshot, write_table
 from workload.model_sql import MODEL, ModelTables
@@ -210,3 +210,31 @@ def test_lines_are_deduplicated_where_they_are(m, conf):
     depth = lines.index(steps[0])
     children = [x for x in lines[depth + 1 :] if "Exchange hashpartitioning(order_item_id" in x]
     assert len(children) >= 2
+
+
+def test_order_level_joins_come_before_the_lines(m, conf):
+    """Without broadcasts: users meet the orders and products the items, so no whole line is shuffled for them."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    lines = plan_of(order_total_report(m)).splitlines()
+
+    def below(key):
+        at = next(i for i, x in enumerate(lines) if f"Exchange hashpartitioning({key}" in x)
+        depth = lines[at].index("Exchange")
+        end = next((i for i in range(at + 1, len(lines)) if re.search(r"[A-Z]", lines[i]).start() <= depth), len(lines))
+        return "\n".join(lines[at:end])
+
+    assert "AS sales_tax#" not in below("created_by") and "o_orderkey" not in below("product_id")
+
+
+def test_written_dimensions_are_broadcast_by_their_size(m, conf, tmp_path):
+    conf("spark.sql.adaptive.enabled", "false")
+    attrs = written(attributes(m), m, str(tmp_path / "s"))
+    plan = plan_of(with_dimensions(items_of(m, attrs), m, attrs=attrs))
+    assert "hashpartitioning(location_id" not in plan and "hashpartitioning(product_id" not in plan
+
+
+def test_items_of_a_query_are_numbered_once(spark):
+    written_items = ModelTables(spark, FOLDER, write_items=True)
+    for name in ("OrderItems", "OrderItemsHistory", "OrderCoupons", "OrderItemDynamicControls"):
+        assert "Window" not in plan_of(written_items[name])
