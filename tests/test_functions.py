@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 from decimal import Decimal as D
 from fractions import Fraction
 
@@ -27,6 +28,38 @@ def test_double_to_cents(spark, x, cents):
     assert one(spark, mo.money_from_double(F.lit(x))) == D(cents)
 
 
+def test_numeric_of_amounts_needs_no_text(spark):
+    """Amounts of up to four decimals take the short way; both ways agree on odd doubles and next to each border."""
+    long_way = F.format_string("%.14e", c("x")).cast(mo.NUMERIC)
+    near = [v * s for v in (0.0, 0.1, 0.0001, 0.00005, 12.34, 1234567.8901, 0.1 + 0.2, 1 / 3, 9999999999.9999, 1e10, 1e10 + 0.5, 123456789012.345, 1e-9) for s in (1.0, -1.0)]
+    near += [math.nextafter(v, math.inf) for v in near] + [k / 10000 for k in range(-20000, 20000, 7)] + [k * 0.01 * 1.1 for k in range(500)]
+    df = spark.createDataFrame([(x,) for x in near], "x double")
+    assert df.where(~mo.numeric(c("x")).eqNullSafe(long_way)).collect() == []
+    assert "rint" in df.select(mo.numeric(c("x")))._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_zones_are_not_looked_up_in_every_row(spark):
+    """``convert_timezone`` parses its zone names for each row."""
+    t = at(spark, "2024-08-01 19:00:00")
+    dates = t.select(tf.local_date(c("t")), tf.local_time(c("t")), tf.double_shift(c("t")))
+    assert "convert_timezone" not in dates._jdf.queryExecution().optimizedPlan().toString()
+    assert t.select(tf.wall_time(c("t")).alias("w")).dtypes == [("w", "timestamp_ntz")]
+
+
+def test_double_shift_into_a_gap(spark):
+    """20:40 UTC is 02:10 in Kolkata, a time that Chicago skipped on that day; it counts as an hour later."""
+    long_way = F.convert_timezone(F.lit("America/Chicago"), F.lit("America/Chicago"), F.convert_timezone(F.lit("UTC"), F.lit("Asia/Kolkata"), c("t")))
+    for instant in ("2024-03-09 20:40:00", "2024-11-02 20:10:00", "1875-01-01 20:40:00", "0001-01-01 00:00:00"):
+        got = at(spark, instant).select(tf.double_shift(c("t"), fmt="yyyy-MM-dd HH:mm:ss"), F.date_format(long_way, "yyyy-MM-dd HH:mm:ss")).first()
+        assert got[0] == got[1]
+
+
+def test_flag_text_is_a_choice(spark):
+    df = spark.createDataFrame([(True,), (False,), (None,)], "f boolean").select(sc.flag_text(c("f")).alias("t"))
+    assert [r.t for r in df.collect()] == ["TRUE", "FALSE", None]
+    assert "upper" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_numeric_keeps_fifteen_digits(spark):
     assert one(spark, mo.numeric(F.lit(0.1) + F.lit(0.2))) == D("0.3")
     assert one(spark, mo.numeric(F.lit(None).cast("double"))) is None
