@@ -212,6 +212,14 @@ def test_lines_are_deduplicated_where_they_are(m, conf):
     assert len(children) >= 2
 
 
+@pytest.mark.parametrize("report", [order_report, transaction_report])
+def test_generated_methods_are_compiled(spark, m, conf, report):
+    """The JVM doesn't compile methods above 8,000 bytes; the last stage of both reports had longer ones and was interpreted."""
+    conf("spark.sql.adaptive.enabled", "false")
+    stages = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$").codegenStringSeq(report(m)._jdf.queryExecution().executedPlan())
+    assert 0 < max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
+
+
 def test_order_level_joins_come_before_the_lines(m, conf):
     """Without broadcasts: users meet the orders and products the items, so no whole line is shuffled for them."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
