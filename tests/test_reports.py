@@ -1,6 +1,7 @@
 """Whole reports: invariants, variants and plan shape."""
 
 import re
+import time
 from decimal import Decimal as D
 
 import pytest
@@ -8,10 +9,11 @@ from pyspark.sql import functions as F
 
 from rentledger.operators.controls import numbered_names
 from rentledger.plans import order_report, order_total_report, payments_view, refund_report, transaction_report
+from rentledger.plans.parts import ITEM_KEYS, Part, parts_of
 from rentledger.plans.transaction_report import LABELS
 from rentledger.plans.model import REFERENCES, attributes, items_of, names_in_use, restricted, with_dimensions, written
 from rentledger.sources.schema import SNAPSHOT_COLUMNS
-from rentledger.sources.snapshot import snapshot, write_table
+from rentledger.sources.snapshot import checkpoint_stage, snapshot, write_table
 from workload.model_sql import MODEL, ModelTables
 from workload.queries import QUERIES, bound
 
@@ -246,3 +248,71 @@ def test_items_of_a_query_are_numbered_once(spark):
     written_items = ModelTables(spark, FOLDER, write_items=True)
     for name in ("OrderItems", "OrderItemsHistory", "OrderCoupons", "OrderItemDynamicControls"):
         assert "Window" not in plan_of(written_items[name])
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {blocks.apply(i).toString() for i in range(blocks.size()) if blocks.apply(i).toString().startswith("shuffle_")}
+
+
+def left_behind(spark, before):
+    """Shuffle files that are still there; they are removed in the background."""
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    return shuffle_files(spark) - before
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark, tmp_path):
+    before = shuffle_files(spark)
+    step = checkpoint_stage(spark.range(1000).repartition(4, "id"), str(tmp_path / "s"))
+    assert not left_behind(spark, before) and step.count() == 1000
+
+
+@pytest.fixture(scope="module")
+def odd(m):
+    """The tables with an item twice, once in another order, items, events, coupons and overrides without an id, and orders without items."""
+    tables = dict(m) | {n: m[n] for n in SNAPSHOT_COLUMNS}
+    items = m["OrderItems"]
+    twice = items.where("Id LIKE '%1'").withColumn("OrderId", F.when(F.col("Id") < "3", F.lit("1")).otherwise(F.col("OrderId")))
+    tables["OrderItems"] = items.unionAll(twice).unionAll(items.where("Id LIKE '%2'").withColumn("Id", F.lit(None).cast("string")))
+    tables["Orders"] = m["Orders"].unionAll(m["Orders"].limit(2).withColumn("Id", F.when(F.col("Id") < "2", F.lit("alone"))))
+    for name in ("OrderItemsHistory", "OrderCoupons", "OrderItemDynamicControls"):
+        tables[name] = m[name].unionAll(m[name].where("OrderItemId LIKE '%2'").withColumn("OrderItemId", F.lit(None).cast("string")))
+    return tables
+
+
+def test_parts_hold_every_item_once(odd):
+    for name, key in ITEM_KEYS.items():
+        parts = [Part(odd, n, 3)[name] for n in range(3)]
+        assert sorted(map(str, odd[name].select(key).collect())) == sorted(str(r) for p in parts for r in p.select(key).collect())
+        assert all(p.count() > 0 for p in parts)
+    assert Part(odd, 0, 3)["Orders"] is odd["Orders"]
+
+
+def test_number_of_parts(spark, m, monkeypatch):
+    n = m["OrderItems"].count()
+    monkeypatch.setattr("rentledger.plans.parts.ITEMS_OF_A_PART", n - 1)
+    assert parts_of(m) == 1  # too small to be counted
+    monkeypatch.setattr("rentledger.plans.parts.SMALL_BYTES", 0)
+    assert parts_of(m) == parts_of(m, dynamic=True) == 2
+    other = {n: m[n] for n in ("OrderItems", "OrderItemsHistory")} | {"OrderCoupons": m["OrderCoupons"].withColumn("OrderItemId", F.col("OrderItemId").cast("bigint"))}
+    assert parts_of(other) == 1  # equal ids could differ in their hash
+    monkeypatch.setattr("rentledger.plans.parts.ITEMS_OF_A_PART", n)
+    assert parts_of(m) == 1
+
+
+@pytest.mark.parametrize(
+    ("report", "variant", "dynamic"),
+    [(order_report, "current", True), (transaction_report, "current", False), (transaction_report, "staged", True)],
+)
+def test_a_report_in_parts_is_the_same(spark, odd, tmp_path, report, variant, dynamic):
+    """Written part by part, with no shuffle files left, and the same rows; before, a report kept the shuffle files of all of its lines."""
+    whole = report(odd, variant, dynamic=dynamic)
+    before = shuffle_files(spark)
+    parted = report(odd, variant, dynamic=dynamic, parts=2, stage=str(tmp_path / "s"))
+    if not dynamic:  # the names of a dynamic report are read in a query of its own
+        assert not left_behind(spark, before)
+    assert "Exchange" not in plan_of(parted) and parted.columns == whole.columns and parted.dtypes == whole.dtypes
+    assert parted.exceptAll(whole).count() == 0 and whole.exceptAll(parted).count() == 0 and parted.count() > 3000
