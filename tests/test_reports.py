@@ -305,7 +305,7 @@ def test_number_of_parts(spark, m, monkeypatch):
 
 @pytest.mark.parametrize(
     ("report", "variant", "dynamic"),
-    [(order_report, "current", True), (transaction_report, "current", False), (transaction_report, "staged", True)],
+    [(order_report, "current", True), (transaction_report, "current", False), (transaction_report, "staged", True), (order_report, "clamped", False)],
 )
 def test_a_report_in_parts_is_the_same(spark, odd, tmp_path, report, variant, dynamic):
     """Written part by part, with no shuffle files left, and the same rows; before, a report kept the shuffle files of all of its lines."""
